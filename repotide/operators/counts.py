@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from repotide.contract import AVERAGE_DIGITS, LANGUAGES, RECENT_PUSH_AGE
-from repotide.functions.expressions import small_table
+from repotide.functions.expressions import small_table, target_language
 
 
 def available_languages(repos):
@@ -28,17 +28,22 @@ def zero_fill_when_empty(result, value, languages=LANGUAGES):
     return result.unionByName(zeros.withColumn(value, zero))
 
 
-def zero_fill_batches(counts, batches, languages=LANGUAGES):
+def zero_fill_batches(per_batch, languages=LANGUAGES):
     """For each batch, every missing target language with 0; other languages are kept.
 
-    The zeros are added as rows and summed in, so no join is needed.
+    `per_batch` has at least one row for each batch. The zeros are added as rows and summed
+    in, so no join is needed.
     """
-    targets = F.explode(F.array(*[F.lit(x) for x in languages]))
-    zeros = batches.select("batch_time", targets.alias("language"), F.lit(0).alias("count"))
+    entry = lambda language, count: F.struct(
+        language.alias("language"), count.cast("long").alias("count")
+    )
+    zeros = [entry(F.lit(x), F.lit(0)) for x in languages]
+    entries = F.array(entry(F.col("language"), F.col("count")), *zeros)
     return (
-        counts.unionByName(zeros)
+        per_batch.select("batch_time", F.inline(entries))
         .groupBy("batch_time", "language")
         .agg(F.sum("count").alias("count"))
+        .where((F.col("count") > 0) | target_language(languages))
     )
 
 
@@ -47,20 +52,21 @@ def recently_pushed(max_age=RECENT_PUSH_AGE):
     return F.col("batch_time") - F.col("pushed_at") <= F.expr(f"INTERVAL {max_age}")
 
 
+def _pushes_per_batch(batched, max_age):
+    """Also keeps a batch in which nothing was pushed recently, with counts of 0."""
+    return batched.groupBy("batch_time", "language").agg(
+        F.count_if(recently_pushed(max_age)).alias("count")
+    )
+
+
 def recent_push_counts(batched, max_age=RECENT_PUSH_AGE):
     """Recently pushed repositories per batch and language. Expects rows unique per batch."""
-    return (
-        batched.where(recently_pushed(max_age))
-        .groupBy("batch_time", "language")
-        .agg(F.count("*").alias("count"))
-    )
+    return _pushes_per_batch(batched, max_age).where(F.col("count") > 0)
 
 
 def recent_push_history(batched, max_age=RECENT_PUSH_AGE, languages=LANGUAGES):
     """Recent counts of every batch, zero-filled, with the label shown to users."""
-    counts = recent_push_counts(batched, max_age)
-    batches = batched.select("batch_time").distinct()
-    return zero_fill_batches(counts, batches, languages).withColumn(
+    return zero_fill_batches(_pushes_per_batch(batched, max_age), languages).withColumn(
         "batch_label", F.date_format("batch_time", "HH:mm:ss")
     )
 
