@@ -60,9 +60,9 @@ HISTORY = _history("12 HOUR", EVENT_LANGUAGES)
 WORDS = r"""
 w AS (
   SELECT lang AS language, doc_id AS id,
-         unnest(list_filter(
-           string_split(lower(regexp_replace(text, '[^a-zA-Z ]', '', 'g')), ' '), x -> x <> ''
-         )) AS word
+         unnest([x FOR x IN
+           string_split(lower(regexp_replace(text, '[^a-zA-Z ]', '', 'g')), ' ') IF x <> ''
+         ]) AS word
   FROM documents
 ),
 wc AS (SELECT language, word, count(*) AS count FROM w GROUP BY ALL),
@@ -73,7 +73,7 @@ top AS (
 )"""
 
 TRIMMED = "rtrim(lower(text), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
-STOP = f"list_filter(t, x -> x NOT IN ({_quoted(STOP_WORDS)}))"
+STOP = f"[x FOR x IN t IF x NOT IN ({_quoted(STOP_WORDS)})]"
 TOKENS = rf"""
 docs AS (SELECT doc_id AS id, lang AS language, text FROM documents
          WHERE text <> '' AND lang IN ({TARGETS})),
@@ -177,7 +177,9 @@ PART_MENTIONS = _mentions(
 TREND = f"""
 roll AS (
   SELECT o_orderpriority AS language, strftime(o_orderdate, '%Y-%m') AS month,
-         count(*) AS repo_count, CAST(sum(CAST(o_totalprice AS DECIMAL(12, 2))) AS DOUBLE) AS total_stars
+         count(*) AS repo_count,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(12, 2))) AS DOUBLE) AS total_stars,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(12, 2))) * 100 AS BIGINT) AS cents
   FROM orders GROUP BY ALL
 ),
 lagged AS (
@@ -185,7 +187,7 @@ lagged AS (
 ),
 trend AS (
   SELECT language, month, repo_count, total_stars,
-         {_rounded("total_stars / repo_count")} AS avg_stars,
+         ((2 * cents + repo_count) // (2 * repo_count)) / 100 AS avg_stars,
          coalesce({_rounded("(repo_count - prev) / prev * 100")}, 0.0) AS growth_rate
   FROM lagged
 ),
@@ -278,9 +280,9 @@ SELECT {_stamp("batch_time")} AS batch_time, language, count,
     "clean_words": r"""
 WITH c AS (
   SELECT doc_id AS id, lang AS language,
-         list_filter(
-           string_split(lower(regexp_replace(text, '[^a-zA-Z ]', '', 'g')), ' '), x -> x <> ''
-         ) AS w
+         [x FOR x IN
+           string_split(lower(regexp_replace(text, '[^a-zA-Z ]', '', 'g')), ' ') IF x <> ''
+         ] AS w
   FROM documents
 )
 SELECT id, language, CAST(len(w) AS INTEGER) AS n_words, array_to_string(w, ' ') AS words FROM c""",
