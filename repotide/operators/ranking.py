@@ -3,20 +3,22 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-# Spark keeps only k rows per group and task (WindowGroupLimit) up to this k, which is
-# the default of spark.sql.optimizer.windowGroupLimitThreshold.
-GROUP_LIMIT = 1000
+# Up to 1000, Spark itself keeps only k rows per group and task before it shuffles
+# (WindowGroupLimit; spark.sql.optimizer.windowGroupLimitThreshold).
+# From this k on, k rows from each of thousands of tasks are too many for one last task.
+SALTED_FROM = 100
 SALTS = 64
 
 
 def top_k(df, group, order, k, rank="rank"):
     """The first k rows of each group as `rank` 1..k. `order` must be a total order.
 
-    Up to GROUP_LIMIT, Spark cuts each task's share of a group to k rows before the
-    shuffle. Beyond it a salted first ranking spreads a hot group over SALTS tasks.
+    For a large k, rows are first ranked within SALTS parts of each group, on as many tasks.
+    The task that ranks a whole group then gets at most SALTS * k rows, however large the
+    group and however many tasks there were.
     """
     group, order = list(group), list(order)
-    if k > GROUP_LIMIT:
+    if k >= SALTED_FROM:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
         df = _ranked(df.withColumn("_salt", salt), [*group, "_salt"], order, k, "_rank")
         df = df.drop("_salt", "_rank")
