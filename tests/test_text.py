@@ -1,0 +1,109 @@
+import pytest
+from conftest import rows
+from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
+from pyspark.sql import functions as F
+
+from repotide.contract import STOP_WORDS
+from repotide.functions import text
+from repotide.operators import vocabulary, words
+from repotide.operators.ranking import top_k
+
+TEXTS = [
+    "Hello  the World\n foo. ",
+    "  leading and Trailing\t\t",
+    "one",
+    " ",
+    "Repeat repeat REPEAT the end",
+    "Ünïcode straße é é",
+]
+
+
+def test_clean_words_deletes_and_joins(repos):
+    df = repos({"description": "Foo-Bar\nbaz é x1  y"}, {"description": None}, {"description": ""}, {"description": "123 !!"})
+    assert rows(words.cleaned_words(df), "word") == [("foobarbaz",), ("x",), ("y",)]
+
+
+def test_ml_tokens_keep_inner_empty_tokens(repos):
+    df = repos({"description": TEXTS[0]})
+    assert vocabulary.tokens(df).first().tokens == ["hello", "", "the", "world", "", "foo."]
+    assert vocabulary.filtered_tokens(df).first().tokens == ["hello", "", "world", "", "foo."]
+
+
+def test_tokens_equal_spark_ml(repos):
+    df = repos(*[{"description": t} for t in TEXTS])
+    ml = Tokenizer(inputCol="description", outputCol="ml").transform(df)
+    ml = StopWordsRemover(inputCol="ml", outputCol="ml_kept").transform(ml)
+    both = vocabulary.filtered_tokens(ml).select(
+        "ml", text.ml_tokens(F.col("description")).alias("own"), "ml_kept", "tokens"
+    )
+    for row in both.collect():
+        assert row.own == row.ml
+        assert row.tokens == row.ml_kept
+
+
+def test_stop_words_are_sparks_default_list(spark):
+    assert list(STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_term_counts_of_a_document(repos):
+    df = repos({"description": "b a b  c b a"}, {"description": " "})
+    counted = vocabulary.term_frequencies(df, stop_words=("zzz",))
+    assert rows(counted, "id", "term", "tf") == [(0, "", 1), (0, "a", 2), (0, "b", 3), (0, "c", 1)]
+
+
+def test_weights_equal_spark_ml(repos):
+    df = repos(*[{"description": t} for t in (*TEXTS, "hello foo. foo. end", "world end one one")])
+    tokens = vocabulary.filtered_tokens(df)
+    model = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=1000, minDF=1).fit(tokens)
+    counted = model.transform(tokens)
+    weighted = IDF(inputCol="tf", outputCol="w").fit(counted).transform(counted)
+    expected = {
+        (r.id, model.vocabulary[i]): v
+        for r in weighted.collect()
+        for i, v in zip(r.w.indices.tolist(), r.w.values.tolist())
+    }
+    statistics = vocabulary.term_statistics(df)
+    idf = vocabulary.idf_weights(vocabulary.vocabulary(statistics, 1), vocabulary.docs_of_statistics(statistics))
+    found = {(r.id, r.term): r.weight for r in vocabulary.tfidf_weights(df, idf, 1000).collect()}
+    assert found.keys() == expected.keys()
+    for key, weight in expected.items():
+        assert found[key] == pytest.approx(weight)
+
+
+def test_vocabulary_needs_min_df_and_breaks_ties_by_term(repos):
+    df = repos({"description": "b a x"}, {"description": "a b"}, {"description": "c c"})
+    statistics = vocabulary.term_statistics(df, stop_words=("zzz",))
+    assert rows(vocabulary.vocabulary(statistics, 2), "rank", "term") == [(1, "a"), (2, "b")]
+    assert rows(vocabulary.docs_of_statistics(statistics)) == [("Python", 3)]
+
+
+def test_eligible_text_is_not_empty_and_in_a_target(repos):
+    df = repos({"description": None}, {"description": ""}, {"description": "x"}, {"description": "x", "language": "Go"})
+    assert rows(vocabulary.text_eligible(df), "id") == [(2,)]
+
+
+def test_min_docs_gate(repos):
+    df = repos(*[{"language": "Java"}] * 4, *[{"language": "Python"}] * 5)
+    assert {r.language for r in vocabulary.min_docs_gate(df, 5).collect()} == {"Python"}
+
+
+@pytest.mark.parametrize("k", [3, 150, 1500])
+def test_top_k_equals_a_sort(spark, k):
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 3)).alias("g"),
+        (F.xxhash64("id") % 500).alias("v"),
+        "id",
+    )
+    expected = {}
+    for row in sorted(df.collect(), key=lambda r: (-r.v, r.id)):
+        expected.setdefault(row.g, []).append(row.id)
+    found = {}
+    for row in top_k(df, ["g"], [F.desc("v"), F.asc("id")], k).orderBy("g", "rank").collect():
+        found.setdefault(row.g, []).append(row.id)
+    assert found == {g: ids[:k] for g, ids in expected.items()}
+
+
+def test_top_words_nested_keeps_rank_order(repos):
+    df = repos({"description": "b b a a c"}, {"description": "c c c"})
+    nested = words.top_words_nested(words.top_words(df, 2)).first()
+    assert [tuple(x) for x in nested.top_ten_words] == [("c", 4), ("a", 2)]
