@@ -257,25 +257,40 @@ def stream_recent_counts(spark, sf):
 def stream_text_refresh(spark, sf):
     lines = ndjson.to_lines(tables.documents(spark, sf).select(*TEXT_SCHEMA.names))
     table, _ = _land(spark, lines, TEXT_SCHEMA, "refresh")
-    paths = {p: scratch_path(spark, f"refresh-{p}") for p in ("index", "repos", "history", "latest")}
-    events = tables.event_stream(spark, sf)
-    checkpoint = scratch_path(spark, "refresh-history-checkpoint")
+    path = {
+        name: scratch_path(spark, f"refresh-{name}")
+        for name in ("index", "repos", "history", "totals", "latest", "pushes", "checkpoint")
+    }
+    pushes = tables.event_stream(spark, sf)
     finish(
-        recent.maintain_recent_history(events, paths["history"], checkpoint, EVENT_LANGUAGES)
+        recent.maintain_recent_history(pushes, path["history"], path["pushes"], EVENT_LANGUAGES)
     )
-    job = lifetime.maintain_repos(
-        spark,
-        table,
-        paths["index"],
-        paths["repos"],
-        scratch_path(spark, "refresh-checkpoint"),
-        schema=TEXT_SCHEMA,
-        after=lambda batch_id: refresh.refresh(
-            spark, paths["repos"], paths["history"], paths["latest"], batch_id, TEXT_LANGUAGES, AS_OF
-        ),
+
+    def publish(new, batch_id):
+        refresh.fold_text_counts(new, path["totals"], batch_id, TEXT_LANGUAGES)
+        refresh.refresh(
+            spark,
+            path["repos"],
+            path["history"],
+            path["totals"],
+            path["latest"],
+            batch_id,
+            TEXT_LANGUAGES,
+            AS_OF,
+        )
+
+    finish(
+        lifetime.maintain_repos(
+            spark,
+            table,
+            path["index"],
+            path["repos"],
+            path["checkpoint"],
+            schema=TEXT_SCHEMA,
+            after=publish,
+        )
     )
-    finish(job)
-    return snapshots.snapshot_sections(snapshots.latest_snapshot(spark, paths["latest"]))
+    return snapshots.snapshot_sections(snapshots.latest_snapshot(spark, path["latest"]))
 
 
 # Counting and averaging

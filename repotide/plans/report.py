@@ -16,9 +16,10 @@ def count_sections(repos, languages=LANGUAGES):
     }
 
 
-def word_section(repos, languages=LANGUAGES):
+def word_section(repos, languages=LANGUAGES, word_counts=None):
     """req4: top words per language; without any repository each target with an empty list."""
-    nested = words.top_words_nested(words.top_words(repos))
+    word_counts = words.word_counts(repos) if word_counts is None else word_counts
+    nested = words.top_words_nested(words.top_words_of_counts(word_counts))
     empty = counts.small_table(repos.sparkSession, languages, "language").where(~repos.exists())
     nothing = F.array().cast(nested.schema["top_ten_words"].dataType)
     return nested.unionByName(empty.withColumn("top_ten_words", nothing))
@@ -30,9 +31,11 @@ def topic_section(repos, languages=LANGUAGES):
     return nested.groupBy("language").agg(listed.alias("topics"))
 
 
-def entity_section(repos, languages=LANGUAGES, dictionary=ENTITIES):
-    docs = vocabulary.text_eligible(repos, languages)
-    top = entities.top_entities(entities.entity_counts(entities.entity_mentions(docs, dictionary)))
+def entity_section(repos, languages=LANGUAGES, dictionary=ENTITIES, entity_counts=None):
+    if entity_counts is None:
+        docs = vocabulary.text_eligible(repos, languages)
+        entity_counts = entities.entity_counts(entities.entity_mentions(docs, dictionary))
+    top = entities.top_entities(entity_counts)
     grid = entities.entity_grid(top, languages, dictionary)
     by_type = [
         F.first(F.when(F.col("entity_type") == t, F.col("entities")), ignorenulls=True).alias(t)
@@ -51,17 +54,20 @@ def trend_section(repos, as_of, languages=LANGUAGES):
     return trends.trend_report(trends.monthly_trend(rows))
 
 
-def all_sections(repos, history, as_of, languages=LANGUAGES):
-    """The eight results. `repos` are unique; `history` has batch_time, language, count."""
+def all_sections(repos, history, as_of, languages=LANGUAGES, word_counts=None, entity_counts=None):
+    """The eight results. `repos` are unique; `history` has batch_time, language, count.
+
+    Running word and entity counts, if given, save a pass over all descriptions each.
+    """
     labelled = history.select(
         F.date_format("batch_time", "HH:mm:ss").alias("batch_time"), "language", "count"
     )
     return {
         **count_sections(repos, languages),
         "req2": labelled,
-        "req4": word_section(repos, languages),
+        "req4": word_section(repos, languages, word_counts),
         "req5": topic_section(repos, languages),
-        "req6": entity_section(repos, languages),
+        "req6": entity_section(repos, languages, entity_counts=entity_counts),
         "req7": similarity.similar_pairs(repos, languages),
         "req8": trend_section(repos, as_of, languages),
     }

@@ -14,17 +14,23 @@ def write_version(df, path, version):
     )
 
 
-def read_versions(spark, path):
-    """All kept versions, or None if nothing has been written yet."""
+def _read_slots(spark, path):
     try:
-        return spark.read.parquet(path).drop("slot")
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return None
         raise
 
 
+def read_versions(spark, path):
+    """The one or two kept versions, or None if nothing has been written yet."""
+    slots = _read_slots(spark, path)
+    return None if slots is None else slots.drop("slot")
+
+
 def read_latest(spark, path):
+    """A reader beside a running writer may meet a slot being replaced; it then reads again."""
     versions = read_versions(spark, path)
     if versions is None:
         return None
@@ -32,16 +38,20 @@ def read_latest(spark, path):
     return versions.where(F.col("version") == newest)
 
 
-def add_to_totals(delta, path, version, keys, sums):
+def add_to_totals(delta, path, version, keys, sums, mins=()):
     """Fold the counts of batch `version` into the running totals of the batch before."""
-    columns = [*keys, *sums]
+    columns = [*keys, *sums, *mins]
     totals = delta.select(*columns)
-    versions = read_versions(delta.sparkSession, path)
-    if versions is not None:
-        before = versions.where(F.col("version") == version - 1)
+    slots = _read_slots(delta.sparkSession, path)
+    if slots is not None:
+        # The filter on `slot` keeps the scan off the files that are about to be replaced.
+        other = F.col("slot") == (version - 1) % 2
+        before = slots.where(other & (F.col("version") == version - 1))
         totals = totals.unionByName(before.select(*columns))
-    summed = totals.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-    write_version(summed, path, version)
+    folded = totals.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.min(c).alias(c) for c in mins]
+    )
+    write_version(folded, path, version)
 
 
 def publish_snapshot(payload, path, version):

@@ -69,7 +69,7 @@ def maintain_repos(
 
     State holds only where the first version was landed. Its row is then fetched from just
     the landed partitions a micro-batch refers to. Both writes replace the partition of
-    their micro-batch, so a repeated batch changes nothing. `after(batch_id)` runs last.
+    their micro-batch, so a repeated batch changes nothing. `after(new_repos, batch_id)` runs last.
     """
 
     def append(updates, batch_id):
@@ -84,7 +84,7 @@ def maintain_repos(
             f"{repos}/{part}"
         )
         if after:
-            after(batch_id)
+            after(spark.read.parquet(f"{repos}/{part}"), batch_id)
 
     good = landed_stream(spark, table, schema).where(~F.col("bad")).drop("batch_time")
     updates = first_seen_updates(good, ["batch"], arrival=("batch", "seq"))

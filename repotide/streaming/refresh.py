@@ -1,23 +1,53 @@
-"""Recompute the results over the lifetime table and publish them."""
+"""Publish the results after each micro-batch of new repositories.
+
+Word and entity counts only ever grow by those of the new repositories, so they are folded
+into running totals and cost one pass over the new descriptions. Topics and similarity
+depend on all texts and are recomputed from the lifetime table.
+"""
 
 from pyspark.sql import functions as F
 
 from repotide.contract import LANGUAGES
+from repotide.operators import entities, vocabulary, words
 from repotide.plans.report import all_sections, snapshot_payload
-from repotide.sources.snapshots import publish_snapshot
+from repotide.sources import snapshots
+from repotide.streaming.run import start
+
+ENTITY_KEYS = ["language", "entity_type", "name", "entry"]
+
 
+def fold_text_counts(new, totals, version, languages=LANGUAGES):
+    """Add the words and entities of `new` repositories to the totals below `totals`."""
+    snapshots.add_to_totals(
+        words.word_counts(new), f"{totals}/words", version, ["language", "word"], ["count"]
+    )
+    mentions = entities.entity_mentions(vocabulary.text_eligible(new, languages))
+    snapshots.add_to_totals(
+        entities.entity_counts(mentions),
+        f"{totals}/entities",
+        version,
+        ENTITY_KEYS,
+        ["count"],
+        ["first_seq"],
+    )
 
-def refresh(spark, repos, history, snapshot, version, languages=LANGUAGES, as_of=None):
-    """`repos` and `history` are table paths. Dates without a year are made up from `as_of`."""
+
+def refresh(spark, repos, history, totals, snapshot, version, languages=LANGUAGES, as_of=None):
+    """Publish the payload; the tables are given by path. `as_of` dates undated languages."""
     unique = spark.read.parquet(repos).drop("batch_id")
     recent = spark.read.parquet(history).drop("batch_id")
-    as_of = as_of or spark.sql("select current_timestamp()").first()[0]
-    payload = snapshot_payload(all_sections(unique, recent, as_of, languages))
-    publish_snapshot(payload, snapshot, version)
+    as_of = as_of or spark.range(1).select(F.current_timestamp()).first()[0]
+    sections = all_sections(
+        unique,
+        recent,
+        as_of,
+        languages,
+        word_counts=snapshots.read_latest(spark, f"{totals}/words"),
+        entity_counts=snapshots.read_latest(spark, f"{totals}/entities"),
+    )
+    snapshots.publish_snapshot(snapshot_payload(sections), snapshot, version)
 
 
 def console(df, checkpoint, interval=None):
     """Print each micro-batch of a stream."""
-    from repotide.streaming.run import start
-
     return start(df.writeStream.format("console").option("truncate", "false"), checkpoint, interval)
