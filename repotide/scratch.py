@@ -2,12 +2,15 @@
 
 A written table cuts lineage and survives the loss of executors. Local mode without the
 setting (tests, a laptop) gets a temporary folder; a cluster without it is an error,
-because a machine-local folder would not be visible to the other executors.
+because a machine-local folder would not be visible to the other executors. Tables are
+kept in a folder per application, which can be deleted when the application has ended.
 """
 
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -19,7 +22,8 @@ def scratch_path(spark, label):
             raise ValueError(f"set {SETTING} to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="repotide-")
         spark.conf.set(SETTING, base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def write_table(df, label):
@@ -27,3 +31,14 @@ def write_table(df, label):
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_existing(spark, path, schema=None):
+    """The Parquet table at `path`, or None if nothing has been written there yet."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -4,9 +4,10 @@ A table has two slots. Version n overwrites slot n modulo 2, so the version befo
 readable meanwhile, writing a version twice changes nothing, and nothing piles up.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from repotide.scratch import read_existing
+
 
 def write_version(df, path, version):
     df.withColumn("version", F.lit(version).cast("long")).write.mode("overwrite").parquet(
@@ -14,18 +15,9 @@ def write_version(df, path, version):
     )
 
 
-def _read_slots(spark, path):
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
-
-
 def read_versions(spark, path):
     """The one or two kept versions, or None if nothing has been written yet."""
-    slots = _read_slots(spark, path)
+    slots = read_existing(spark, path)
     return None if slots is None else slots.drop("slot")
 
 
@@ -42,7 +34,7 @@ def add_to_totals(delta, path, version, keys, sums, mins=()):
     """Fold the counts of batch `version` into the running totals of the batch before."""
     columns = [*keys, *sums, *mins]
     totals = delta.select(*columns)
-    slots = _read_slots(delta.sparkSession, path)
+    slots = read_existing(delta.sparkSession, path)
     if slots is not None:
         # The filter on `slot` keeps the scan off the files that are about to be replaced.
         other = F.col("slot") == (version - 1) % 2

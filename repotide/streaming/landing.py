@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from repotide.contract import REPO_SCHEMA
 from repotide.operators.state import dedup_within_batch
+from repotide.scratch import read_existing
 from repotide.sources.ndjson import parse_lines
 from repotide.streaming.run import start
 
@@ -41,6 +42,12 @@ def landed_stream(spark, table, schema=REPO_SCHEMA):
     return spark.readStream.schema(_table_schema(_copy(schema))).parquet(table)
 
 
+def wait_for_table(spark, table, job, schema=REPO_SCHEMA):
+    """Return once the landing job has written its first micro-batch, or has ended."""
+    while job.isActive and read_existing(spark, table, schema) is None:
+        job.awaitTermination(1)
+
+
 def _copy(schema):
     return type(schema)(list(schema.fields))
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from repotide.contract import LANGUAGES
 from repotide.operators import entities, vocabulary, words
 from repotide.plans.report import all_sections, snapshot_payload
+from repotide.scratch import read_existing
 from repotide.sources import snapshots
 from repotide.streaming.run import start
 
+HISTORY = "batch_time timestamp, language string, count long"
 ENTITY_KEYS = ["language", "entity_type", "name", "entry"]
 
 
@@ -35,7 +37,9 @@ def fold_text_counts(new, totals, version, languages=LANGUAGES):
 def refresh(spark, repos, history, totals, snapshot, version, languages=LANGUAGES, as_of=None):
     """Publish the payload; the tables are given by path. `as_of` dates undated languages."""
     unique = spark.read.parquet(repos).drop("batch_id")
-    recent = spark.read.parquet(history).drop("batch_id")
+    recent = read_existing(spark, history, HISTORY)
+    if recent is None:
+        recent = spark.createDataFrame([], HISTORY)
     as_of = as_of or spark.range(1).select(F.current_timestamp()).first()[0]
     sections = all_sections(
         unique,

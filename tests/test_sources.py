@@ -85,7 +85,7 @@ def test_payload_is_one_object(spark):
 
 
 def test_scratch_is_below_the_shared_folder(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    assert scratch.scratch_path(spark, "x").startswith(base + "/x-")
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/{spark.sparkContext.applicationId}"
+    assert scratch.scratch_path(spark, "x").startswith(f"{folder}/x-")
     table = scratch.write_table(spark.range(3), "y")
     assert rows(table) == [(0,), (1,), (2,)]

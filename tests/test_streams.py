@@ -3,14 +3,15 @@ import os
 import shutil
 
 import pytest
-from conftest import at, rows
+from conftest import rows
 from pyspark.sql import functions as F
 
+from repotide.app import run
 from repotide.operators import counts, state
 from repotide.plans import tables
 from repotide.plans.registry import DAY, EVENT_SCHEMA, HALF_DAY
 from repotide.sources import ndjson, snapshots
-from repotide.streaming import landing, lifetime, recent, refresh
+from repotide.streaming import landing, lifetime, recent
 from repotide.streaming.run import finish, start
 
 SF = "/root/testdata/sf0.001"
@@ -107,32 +108,24 @@ def write_lines(folder, name, *texts):
 
 
 def test_lines_to_snapshot(spark, tmp_path):
-    inbox, path = tmp_path / "inbox", {
-        n: str(tmp_path / n) for n in ("landed", "index", "repos", "history", "totals", "latest")
-    }
+    inbox, out = tmp_path / "inbox", str(tmp_path / "out")
     words = "api data cloud server web".split()
 
-    def publish(new, batch_id):
-        refresh.fold_text_counts(new, path["totals"], batch_id)
-        refresh.refresh(spark, path["repos"], path["history"], path["totals"], path["latest"], batch_id, as_of=at("2024-07-01 00:00:00"))
+    def run_once():
+        jobs = run(spark, ndjson.stream_lines(spark, path=str(inbox)), out, interval=None)
+        payload = snapshots.latest_snapshot(spark, f"{out}/snapshot").first().payload
+        return landing.progress_rows(jobs[0]), json.loads(payload)
 
-    def run():
-        lines = ndjson.stream_lines(spark, path=str(inbox))
-        job = finish(landing.land(lines, path["landed"], str(tmp_path / "c1")))
-        good = landing.landed_stream(spark, path["landed"]).where("not bad").drop("batch_time")
-        finish(recent.maintain_recent_history(good, path["history"], str(tmp_path / "c2")))
-        finish(lifetime.maintain_repos(spark, path["landed"], path["index"], path["repos"], str(tmp_path / "c3"), after=publish))
-        payload = snapshots.latest_snapshot(spark, path["latest"]).first().payload
-        return landing.progress_rows(job), json.loads(payload)
+    landed = lambda: landing.landed(spark, f"{out}/landed")
 
     write_lines(
         inbox, "a.json", record(1, 2, stargazers_count=9, description="late"),
         record(1, 1, stargazers_count=5, description="docker api api"), "not json",
         *[record(n, n, description=f"{words[n % 5]} {words[n % 3]}", stargazers_count=1) for n in range(10, 20)],
     )
-    metrics, first = run()
+    metrics, first = run_once()
     assert [m[1:] for m in metrics] == [(13, 1)]
-    assert rows(landing.quarantine(landing.landed(spark, path["landed"])), "line") == [("not json",)]
+    assert rows(landing.quarantine(landed()), "line") == [("not json",)]
     assert first["req1"] == [{"language": "Python", "count": 11}]
     assert first["req3"] == [{"language": "Python", "avg_stargazers_count": 1.36}]
     assert sorted(first) == [f"req{n}" for n in range(1, 9)]
@@ -141,9 +134,9 @@ def test_lines_to_snapshot(spark, tmp_path):
         inbox, "b.json", record(1, 0, stargazers_count=100, description="api api api"),
         record(30, 30, language="Java", description="spring docker"),
     )
-    _, second = run()
+    _, second = run_once()
     assert {r["language"]: r["count"] for r in second["req1"]} == {"Java": 1, "Python": 11}
-    repos = spark.read.parquet(path["repos"])
+    repos = spark.read.parquet(f"{out}/repos")
     assert rows(repos.where("id = 1"), "stargazers_count") == [(5,)]
     top = {r["language"]: {w["word"]: w["count"] for w in r["top_ten_words"]} for r in second["req4"]}
     assert top["Java"] == {"spring": 1, "docker": 1}
@@ -152,4 +145,4 @@ def test_lines_to_snapshot(spark, tmp_path):
     assert top["Python"]["api"] == api
     by_language = {r["language"]: r["entities"] for r in second["req6"]}
     assert by_language["Java"]["companies"] == [{"name": "docker", "count": 1}]
-    assert landing.batch_history(landing.landed(spark, path["landed"])).count() == 13
+    assert landing.batch_history(landed()).count() == 13
