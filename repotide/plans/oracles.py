@@ -391,3 +391,9 @@ SELECT language || ':' || n || ':' || avg_stargazers_count AS line FROM av""",
 SELECT language || ':' || string_agg('(' || word || ',' || count || ')', ',' ORDER BY rank) AS line
 FROM top GROUP BY language""",
 }
+ORACLES["sample_output_lines"] = (
+    f"({ORACLES['sample_count_lines']}) UNION ALL ({ORACLES['sample_word_lines']})"
+)
+ORACLES["console_summary_lines"] = (
+    f"({ORACLES['pair_lines']}) UNION ALL ({ORACLES['trend_lines']})"
+)

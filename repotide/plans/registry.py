@@ -673,3 +673,15 @@ def sample_count_lines(spark, sf):
 @query
 def sample_word_lines(spark, sf):
     return display.sample_word_lines(_nested_words(spark, sf))
+
+
+@query
+def sample_output_lines(spark, sf):
+    """The saved-output format: count lines, then word lines."""
+    return sample_count_lines(spark, sf).unionByName(sample_word_lines(spark, sf))
+
+
+@query
+def console_summary_lines(spark, sf):
+    """One text line per result: similar pairs and trends."""
+    return pair_lines(spark, sf).unionByName(trend_lines(spark, sf))

@@ -18,8 +18,15 @@ def stamp_batch(stream):
     return stream.withColumn("batch_time", F.current_timestamp())
 
 
+def with_sequence(records):
+    """Records whose producer sends no sequence number arrive in the order of their pushes."""
+    if not {"seq", "pushed_at"} <= set(records.columns):
+        return records
+    return records.withColumn("seq", F.coalesce("seq", F.unix_micros("pushed_at")))
+
+
 def land(lines, table, checkpoint, schema=REPO_SCHEMA, interval=None):
-    parsed = stamp_batch(parse_lines(lines, schema))
+    parsed = with_sequence(stamp_batch(parse_lines(lines, schema)))
     counted = parsed.observe(
         "landing", F.count("*").alias("rows"), F.count_if(F.col("bad")).alias("bad_rows")
     )

@@ -146,3 +146,11 @@ def test_lines_to_snapshot(spark, tmp_path):
     by_language = {r["language"]: r["entities"] for r in second["req6"]}
     assert by_language["Java"]["companies"] == [{"name": "docker", "count": 1}]
     assert landing.batch_history(landed()).count() == 13
+
+
+def test_lines_without_sequence_numbers(spark, tmp_path):
+    inbox, table = tmp_path / "inbox", str(tmp_path / "landed")
+    line = '{"id":1,"name":"a","language":"Python","description":null,"stargazers_count":%d,"pushed_at":"2024-01-01T00:00:%02dZ"}'
+    write_lines(inbox, "a.json", line % (9, 30), line % (5, 10), line % (7, 20))
+    finish(landing.land(ndjson.stream_lines(spark, path=str(inbox)), table, str(tmp_path / "c")))
+    assert rows(landing.batch_history(landing.landed(spark, table)), "id", "stargazers_count") == [(1, 5)]
