@@ -17,11 +17,15 @@ def stream_lines(spark, source="text", **options):
 
 def parse_lines(lines, schema=REPO_SCHEMA):
     """The record's columns, the line itself, and `bad` for lines that are no usable record:
-    not JSON, a value of the wrong type, no id, or no push time."""
+    not JSON, a value of the wrong type, no id, or no push time.
+
+    A filter on `bad` would be pushed below a projection and parse each line again; it stays
+    above a generator.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_json("value", with_corrupt, options)
-    parsed = lines.select(F.col("value").alias("line"), record.alias("r")).select("line", "r.*")
+    parsed = lines.select(F.col("value").alias("line"), F.inline(F.array(record)))
     required = [c for c in ("id", "pushed_at") if c in schema.names]
     bad = F.col(CORRUPT).isNotNull()
     for column in required:
