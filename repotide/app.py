@@ -32,20 +32,17 @@ def run(spark, lines, out, languages=LANGUAGES, interval=BATCH_INTERVAL, refresh
     else:
         landing.wait_for_table(spark, path("landed"), jobs[0])
 
-    def good():
-        rows = landing.landed_stream(spark, path("landed"))
-        return rows.where("not bad").drop("batch_time")
-
+    good = landing.landed_stream(spark, path("landed")).where("not bad")
     jobs.append(
         recent.maintain_recent_history(
-            good(), path("history"), path("checkpoints/history"), languages, interval=interval
+            good, path("history"), path("checkpoints/history"), languages, interval=interval
         )
     )
     if interval is None:
         jobs[1].awaitTermination()
 
     def publish(new, batch_id):
-        refresh.fold_text_counts(new, path("totals"), batch_id, languages)
+        refresh.fold_counts(new, path("totals"), batch_id, languages)
         if batch_id % refresh_every:
             return
         refresh.refresh(

@@ -21,6 +21,24 @@ def avg_stars_by_language(repos, digits=AVERAGE_DIGITS):
     )
 
 
+def language_totals(repos):
+    """(language, repos, stars, rated): sums that can be added up over batches."""
+    return repos.groupBy("language").agg(
+        F.count("*").alias("repos"),
+        F.sum("stargazers_count").alias("stars"),
+        F.count("stargazers_count").alias("rated"),
+    )
+
+
+def counts_of_totals(totals):
+    return totals.select("language", F.col("repos").alias("count"))
+
+
+def averages_of_totals(totals, digits=AVERAGE_DIGITS):
+    average = F.round(F.col("stars") / F.col("rated"), digits)
+    return totals.select("language", average.alias("avg_stargazers_count"))
+
+
 def zero_fill_when_empty(result, value, languages=LANGUAGES):
     """Every target language with 0, but only if `result` has no row at all."""
     zeros = small_table(result.sparkSession, languages, "language").where(~result.exists())

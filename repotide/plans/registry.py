@@ -117,13 +117,13 @@ def _pages(rows, *page):
 @query
 def flatten_search_items(spark, sf):
     turns = tables.table(spark, sf, "conversations")
-    pages = _pages(turns, "conv_id", F.floor(F.col("turn") / PAGE))
+    pages = _pages(turns, "conv_id", F.expr(f"turn div {PAGE}"))
     return search.search_items(pages, turns.schema)
 
 
 def _document_items(spark, sf):
     items = tables.documents(spark, sf).withColumn("fork", F.lit(False))
-    pages = _pages(items.drop("created_at", "seq"), F.floor(F.col("id") / PAGE))
+    pages = _pages(items.drop("created_at", "seq"), F.expr(f"id div {PAGE}"))
     return search.search_items(pages, search.ITEM_SCHEMA)
 
 
@@ -267,7 +267,7 @@ def stream_text_refresh(spark, sf):
     )
 
     def publish(new, batch_id):
-        refresh.fold_text_counts(new, path["totals"], batch_id, TEXT_LANGUAGES)
+        refresh.fold_counts(new, path["totals"], batch_id, TEXT_LANGUAGES)
         refresh.refresh(
             spark,
             path["repos"],

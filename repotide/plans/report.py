@@ -6,12 +6,16 @@ from repotide.contract import ENTITIES, LANGUAGES
 from repotide.operators import counts, entities, similarity, topics, trends, vocabulary, words
 
 
-def count_sections(repos, languages=LANGUAGES):
+def count_sections(repos, languages=LANGUAGES, totals=None):
     """req1 and req3 of unique repositories, as columns `count` and `avg_stargazers_count`."""
-    totals = counts.total_count_by_language(repos)
-    averages = counts.avg_stars_by_language(repos)
+    if totals is None:
+        numbers = counts.total_count_by_language(repos)
+        averages = counts.avg_stars_by_language(repos)
+    else:
+        numbers = counts.counts_of_totals(totals)
+        averages = counts.averages_of_totals(totals)
     return {
-        "req1": counts.zero_fill_when_empty(totals, "count", languages),
+        "req1": counts.zero_fill_when_empty(numbers, "count", languages),
         "req3": counts.zero_fill_when_empty(averages, "avg_stargazers_count", languages),
     }
 
@@ -54,16 +58,24 @@ def trend_section(repos, as_of, languages=LANGUAGES):
     return trends.trend_report(trends.monthly_trend(rows))
 
 
-def all_sections(repos, history, as_of, languages=LANGUAGES, word_counts=None, entity_counts=None):
+def all_sections(
+    repos,
+    history,
+    as_of,
+    languages=LANGUAGES,
+    language_totals=None,
+    word_counts=None,
+    entity_counts=None,
+):
     """The eight results. `repos` are unique; `history` has batch_time, language, count.
 
-    Running word and entity counts, if given, save a pass over all descriptions each.
+    Running totals, if given, save a pass over all repositories each.
     """
     labelled = history.select(
         F.date_format("batch_time", "HH:mm:ss").alias("batch_time"), "language", "count"
     )
     return {
-        **count_sections(repos, languages),
+        **count_sections(repos, languages, language_totals),
         "req2": labelled,
         "req4": word_section(repos, languages, word_counts),
         "req5": topic_section(repos, languages),

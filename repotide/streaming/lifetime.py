@@ -7,7 +7,8 @@ earliest batch, then the lowest `seq` in it. State keeps only the carried column
 
 from pyspark.sql import functions as F
 
-from repotide.contract import AVERAGE_DIGITS, REPO_SCHEMA
+from repotide.contract import REPO_SCHEMA
+from repotide.operators import counts
 from repotide.operators.state import first_seen
 from repotide.sources import snapshots
 from repotide.streaming.landing import landed, landed_stream, stamp_batch
@@ -32,6 +33,11 @@ def newly_seen(updates):
     return updates.where("new").drop("new")
 
 
+def fold_language_totals(new, path, version):
+    totals = counts.language_totals(new)
+    snapshots.add_to_totals(totals, path, version, ["language"], ["repos", "stars", "rated"])
+
+
 def maintain_totals(stream, path, checkpoint, interval=None):
     """Running (language, repos, stars, rated) totals of unique repositories.
 
@@ -40,26 +46,18 @@ def maintain_totals(stream, path, checkpoint, interval=None):
     """
 
     def fold(updates, batch_id):
-        delta = newly_seen(updates).groupBy("language").agg(
-            F.count("*").alias("repos"),
-            F.sum("stargazers_count").alias("stars"),
-            F.count("stargazers_count").alias("rated"),
-        )
-        snapshots.add_to_totals(delta, path, batch_id, ["language"], ["repos", "stars", "rated"])
+        fold_language_totals(newly_seen(updates), path, batch_id)
 
     updates = first_seen_updates(stream, ["language", "stargazers_count"])
     return start(updates.writeStream.outputMode("update").foreachBatch(fold), checkpoint, interval)
 
 
 def lifetime_counts(spark, path):
-    return snapshots.read_latest(spark, path).select("language", F.col("repos").alias("count"))
+    return counts.counts_of_totals(snapshots.read_latest(spark, path))
 
 
-def lifetime_averages(spark, path, digits=AVERAGE_DIGITS):
-    average = F.round(F.col("stars") / F.col("rated"), digits)
-    return snapshots.read_latest(spark, path).select(
-        "language", average.alias("avg_stargazers_count")
-    )
+def lifetime_averages(spark, path):
+    return counts.averages_of_totals(snapshots.read_latest(spark, path))
 
 
 def maintain_repos(

@@ -41,12 +41,14 @@ def replayed_recent_counts(stream, interval=BATCH_INTERVAL, max_age=RECENT_PUSH_
 def maintain_recent_history(
     stream, path, checkpoint, languages=LANGUAGES, max_age=RECENT_PUSH_AGE, interval=None
 ):
-    """Live form: each micro-batch is a batch, its time is when it is processed. Appends its
-    zero-filled counts; a repeated micro-batch replaces its own rows."""
+    """Live form: appends the zero-filled counts of each batch; a repeated micro-batch replaces
+    its own rows. Landed rows keep the time their batch was landed, so a late start of this
+    job does not age them; for other streams the micro-batch is the batch."""
 
     def append(rows, batch_id):
         history = recent_push_history(dedup_within_batch(rows), max_age, languages)
         history.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    narrow = stamp_batch(stream).select("batch_time", "id", "seq", "language", "pushed_at")
+    stamped = stream if "batch_time" in stream.columns else stamp_batch(stream)
+    narrow = stamped.select("batch_time", "id", "seq", "language", "pushed_at")
     return start(narrow.writeStream.foreachBatch(append), checkpoint, interval)

@@ -1,8 +1,8 @@
 """Publish the results after each micro-batch of new repositories.
 
-Word and entity counts only ever grow by those of the new repositories, so they are folded
-into running totals and cost one pass over the new descriptions. Topics and similarity
-depend on all texts and are recomputed from the lifetime table.
+Counts of repositories, words and entities only ever grow by those of the new repositories,
+so they are folded into running totals and cost a pass over the new rows. Trends read a few
+narrow columns. Topics and similarity depend on all texts of the lifetime table.
 """
 
 from pyspark.sql import functions as F
@@ -12,14 +12,16 @@ from repotide.operators import entities, vocabulary, words
 from repotide.plans.report import all_sections, snapshot_payload
 from repotide.scratch import read_existing
 from repotide.sources import snapshots
+from repotide.streaming.lifetime import fold_language_totals
 from repotide.streaming.run import start
 
 HISTORY = "batch_time timestamp, language string, count long"
 ENTITY_KEYS = ["language", "entity_type", "name", "entry"]
 
 
-def fold_text_counts(new, totals, version, languages=LANGUAGES):
-    """Add the words and entities of `new` repositories to the totals below `totals`."""
+def fold_counts(new, totals, version, languages=LANGUAGES):
+    """Add `new` repositories to the running counts of languages, words and entities."""
+    fold_language_totals(new, f"{totals}/languages", version)
     snapshots.add_to_totals(
         words.word_counts(new), f"{totals}/words", version, ["language", "word"], ["count"]
     )
@@ -46,6 +48,7 @@ def refresh(spark, repos, history, totals, snapshot, version, languages=LANGUAGE
         recent,
         as_of,
         languages,
+        language_totals=snapshots.read_latest(spark, f"{totals}/languages"),
         word_counts=snapshots.read_latest(spark, f"{totals}/words"),
         entity_counts=snapshots.read_latest(spark, f"{totals}/entities"),
     )
