@@ -1,6 +1,6 @@
 """One query per operator: applied to its whole table with production parameters."""
 
-from repotide.llm import decontamination
+from repotide.llm import decontamination, quality_rules
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -16,3 +16,10 @@ def query(f):
 def op4_decontamination(spark, sf_dir):
     spans = decontamination.removal_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.judged(spans)
+
+
+@query
+def op7_quality_rules(spark, sf_dir):
+    return quality_rules.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
