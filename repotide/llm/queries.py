@@ -1,6 +1,6 @@
 """One query per operator: applied to its whole table with production parameters."""
 
-from repotide.llm import decontamination, quality_rules
+from repotide.llm import decontamination, licenses, quality_rules
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -23,3 +23,8 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
     )
+
+
+@query
+def op2_license_scan(spark, sf_dir):
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
