@@ -1,6 +1,8 @@
 """One query per operator: applied to its whole table with production parameters."""
 
-from repotide.llm import decontamination, licenses, quality_rules
+import public_tokenizers
+
+from repotide.llm import bpe, decontamination, licenses, quality_rules
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -28,3 +30,8 @@ def op7_quality_rules(spark, sf_dir):
 @query
 def op2_license_scan(spark, sf_dir):
     return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_byte_bpe(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
