@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from repotide.llm import bpe, decontamination, licenses, quality_rules
+from repotide.llm import bpe, decontamination, licenses, quality_rules, warc
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -35,3 +35,11 @@ def op2_license_scan(spark, sf_dir):
 @query
 def op3_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op5_warc(spark, sf_dir):
+    return warc.records(warc.round_trip(table(spark, sf_dir, "pages")))
+
+
+ORACLES["op5_warc"] = warc.ORACLE
