@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from repotide.llm import bpe, decontamination, licenses, quality_rules, warc
+from repotide.llm import bpe, decontamination, licenses, line_dedup, quality_rules, warc
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -43,3 +43,12 @@ def op5_warc(spark, sf_dir):
 
 
 ORACLES["op5_warc"] = warc.ORACLE
+
+
+@query
+def op6_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(docs)
+
+
+ORACLES["op6_line_dedup"] = line_dedup.ORACLE
