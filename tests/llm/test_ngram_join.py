@@ -1,0 +1,102 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from repotide.llm import ngram_join as J
+from repotide.llm.common import words_of
+from repotide.llm.components import components
+from repotide.llm.shingles import Hasher
+
+
+def sets_of(texts):
+    out = []
+    for t in texts:
+        w = words_of(t)
+        size = min(5, len(w))
+        out.append({tuple(w[k : k + size]) for k in range(len(w) - size + 1)} if w else set())
+    return out
+
+
+def brute(texts):
+    sets = sets_of(texts)
+    near = defaultdict(set)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common and common >= 0.8 * (len(a) + len(sets[j]) - common) - 1e-9:
+                near[i].add(j)
+                near[j].add(i)
+    label = list(range(len(texts)))
+    for _ in texts:
+        label = [min([label[i], *(label[j] for j in near[i])]) for i in range(len(texts))]
+    return {i: (label[i], len(near[i]), 1 if not sets[i] else sum(s == sets[i] for s in sets)) for i in range(len(texts))}
+
+
+def corpus(seed, groups=12, size=5, words=120):
+    rng = random.Random(seed)
+    prose = lambda n: [rng.choice("abcdefgh") * rng.randint(1, 4) + str(rng.randint(0, 60)) for _ in range(n)]
+    shared = " ".join(prose(30))
+    texts = []
+    for _ in range(groups):
+        base = prose(rng.randint(1, words))
+        for _ in range(rng.randint(1, size)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 40))):
+                copy[rng.randrange(len(copy))] = "edit"
+            texts.append(" ".join(copy))
+    texts += [shared + " " + " ".join(prose(rng.randint(5, 60))) for _ in range(20)]
+    rng.shuffle(texts)
+    return texts
+
+
+def result(df):
+    return {r["doc_id"]: (r["class_id"], r["n_links"], r["n_copies"]) for r in df.collect()}
+
+
+def test_shingles_of_random_texts(odd):
+    rng, hasher = random.Random(1), Hasher()
+    texts = ["".join(rng.choice("aB1é -\n😀") for _ in range(rng.randint(0, 80))) for _ in range(300)] + odd
+    for text, s in zip(texts, sets_of(texts), strict=True):
+        assert len(hasher.shingles(text)) == len(s)
+    one = hasher.shingles("one Two three four five six")
+    assert set(hasher.shingles("x one two THREE four five").tolist()) & set(one.tolist())
+
+
+def test_runs_reach_the_recall():
+    q = 1 - np.exp(-(1 - np.exp(-(1 - np.exp(-1.0)))))
+    assert (1 - q) ** J.runs_for() <= 0.001 < (1 - q) ** (J.runs_for() - 1)
+
+
+@pytest.mark.parametrize("bucket", [3, 512])
+def test_against_brute_force(spark, documents, clashing, odd, monkeypatch, bucket):
+    monkeypatch.setattr(J, "BUCKET", bucket)
+    texts = corpus(bucket) + odd
+    assert result(J.similar_classes(clashing(documents(texts)))) == brute(texts)
+
+
+def test_large_group_of_near_copies(spark, documents, monkeypatch):
+    monkeypatch.setattr(J, "BUCKET", 20)
+    texts = corpus(7, groups=2, size=70, words=200)
+    assert result(J.similar_classes(documents(texts))) == brute(texts)
+
+
+def test_nulls_and_empty(spark, documents):
+    assert result(J.similar_classes(documents(["a"]).limit(0))) == {}
+    rows = [(None, "a b"), (None, "a b"), (4, "a b"), (5, None), (5, "z")]
+    out = J.similar_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(
+        [(None, 4, 2, 3), (None, 4, 2, 3), (4, 4, 2, 3), (5, 5, 0, 1), (5, 5, 0, 1)], key=repr
+    )
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    pairs = [(f"{rng.randint(0, 150):03}", f"{rng.randint(0, 150):03}") for _ in range(100)] + [(f"c{k:03}", f"c{k + 1:03}") for k in range(40)]
+    label = {v: v for p in pairs for v in p}
+    for _ in label:
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    got = dict(map(tuple, components(spark.createDataFrame(pairs, "u string, v string")).collect()))
+    assert got == {v: r for v, r in label.items() if v != r}
