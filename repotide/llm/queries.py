@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from repotide.llm import bpe, decontamination, licenses, line_dedup, quality_rules, warc
+from repotide.llm import bpe, decontamination, language_id, licenses, line_dedup, ngram_join, quality_rules, warc
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -52,3 +52,13 @@ def op6_line_dedup(spark, sf_dir):
 
 
 ORACLES["op6_line_dedup"] = line_dedup.ORACLE
+
+
+@query
+def op8_ngram_join(spark, sf_dir):
+    return ngram_join.similar_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_language_id(spark, sf_dir):
+    return language_id.predicted(table(spark, sf_dir, "documents"))

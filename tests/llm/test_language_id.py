@@ -1,0 +1,102 @@
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from repotide.llm import language_id as L
+
+WORDS = {"de": "der die und nicht schön haus geht über weg", "en": "the and not house goes over way nice", "ru": "дом и не путь идёт где хорошо"}
+
+
+def corpus(n=240):
+    rng = random.Random(8)
+    out = []
+    for _ in range(n):
+        lang = rng.choice(list(WORDS))
+        out.append((" ".join(rng.choice(WORDS[lang].split()) for _ in range(rng.randint(3, 40))) + " 12!", lang, "s"))
+    return out
+
+
+def brute_model(texts):
+    """p(letter | three before) by interpolated Kneser-Ney, from the definition."""
+    seqs = [L.folded(t, L.fold_table()).tolist() for t in texts]
+    counts = [None] * 5
+    counts[4] = Counter(tuple(s[k : k + 4]) for s in seqs for k in range(len(s) - 3))
+    for n in (3, 2, 1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    stats = [None] * 5
+    for n in range(1, 5):
+        n1, n2 = (sum(c == x for c in counts[n].values()) for x in (1, 2))
+        d = min(0.95, max(0.1, n1 / max(n1 + 2 * n2, 1)))
+        total, kinds = Counter(), Counter()
+        for g, c in counts[n].items():
+            total[g[:-1]] += c
+            kinds[g[:-1]] += 1
+        stats[n] = d, total, kinds
+
+    def p(g):
+        if not g:
+            return 1 / 65536
+        d, total, kinds = stats[len(g)]
+        h = g[:-1]
+        lower = p(g[1:])
+        if not total[h]:
+            return lower
+        return max(counts[len(g)][g] - d, 0) / total[h] + d * kinds[h] / total[h] * lower
+
+    return p
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    from pyspark.sql.types import StructType
+
+    rows = [(k, *x, 0) for k, x in enumerate(corpus())]
+    docs = spark.createDataFrame(rows, StructType.fromDDL("doc_id long, text string, lang string, source string, n_chars long"))
+    return docs, L.train(docs, L.fold_table())
+
+
+def test_model_equals_the_definition(trained):
+    docs, model = trained
+    texts = defaultdict(list)
+    for r in docs.collect():
+        if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            texts[r["lang"]].append(r["text"])
+    probe = ["the haus идёт zzz", "der weg", "Ünder q"]
+    for number, lang in enumerate(model.langs):
+        p = brute_model(texts[lang])
+        for text, (n, entropy) in zip(probe, model.cross_entropies(probe, L.fold_table()), strict=True):
+            seq = L.folded(text, L.fold_table()).tolist()
+            expected = [-math.log(p(tuple(seq[k : k + 4]))) for k in range(len(seq) - 3)]
+            assert n == len(expected)
+            assert abs(np.mean(expected) - entropy[number]) < 0.05
+
+
+def test_held_out_accuracy_and_columns(spark, documents, clashing, odd):
+    texts = corpus() + [(t, None, None) for t in odd]
+    rows = {r["doc_id"]: r for r in L.predicted(clashing(documents(texts))).collect()}
+    assert len(rows) == len(texts)
+    for k, r in rows.items():
+        assert r["held_out"] == (zlib.crc32(str(k).encode()) % 4 == 2) and 0 <= r["score"] <= 1
+        text, lang, _ = texts[k]
+        if not any(c.isalpha() for c in text or ""):
+            assert r["lang_pred"] == "und" and r["score"] == 0
+        elif lang:
+            assert r["lang_pred"] == lang
+
+
+def test_long_texts_are_cut_without_loss(trained, monkeypatch):
+    _, model = trained
+    text = "the house over дом " * 50
+    whole = model.cross_entropies([text, "", None], L.fold_table())
+    monkeypatch.setattr(L, "CHUNK", 17)
+    cut = model.cross_entropies([text, "", None], L.fold_table())
+    assert [x[0] for x in whole] == [x[0] for x in cut] and np.allclose(whole[0][1], cut[0][1])
+
+
+def test_nothing_to_learn_from(spark, documents):
+    assert {r["lang_pred"] for r in L.predicted(documents([("a b", None, None), None])).collect()} == {"und"}
+    assert L.predicted(documents(["a"]).limit(0)).count() == 0
