@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from repotide.llm import bpe, decontamination, language_id, licenses, line_dedup, ngram_join, quality_rules, warc
+from repotide.llm import bpe, decontamination, language_id, licenses, line_dedup, ngram_join, quality_classifier, quality_rules, warc
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -62,3 +62,8 @@ def op8_ngram_join(spark, sf_dir):
 @query
 def op1_language_id(spark, sf_dir):
     return language_id.predicted(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_quality_classifier(spark, sf_dir):
+    return quality_classifier.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
