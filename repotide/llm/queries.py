@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from repotide.llm import bpe, decontamination, language_id, licenses, line_dedup, ngram_join, quality_classifier, quality_rules, warc
+from repotide.llm import bpe, decontamination, language_id, licenses, line_dedup, ngram_join, pii, quality_classifier, quality_rules, warc
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -67,3 +67,8 @@ def op1_language_id(spark, sf_dir):
 @query
 def op9_quality_classifier(spark, sf_dir):
     return quality_classifier.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_personal_data(spark, sf_dir):
+    return pii.detected(table(spark, sf_dir, "documents"))
