@@ -62,9 +62,9 @@ def test_null_groups_and_empty_table(spark, documents, corpus):
 def test_estimate_withstands_a_third_of_outliers(spark):
     rng = np.random.default_rng(0)
     good, bad = rng.normal(0, 1, (600, Q.DIMENSIONS)), rng.normal(12, 0.5, (300, Q.DIMENSIONS))
-    rows = [("x", v) for v in np.vstack([good, bad]).tolist()]
-    df = spark.createDataFrame(rows, "lang string, features array<double>")
-    fit = Q.covariance_determinant(df, ["lang"]).first()
+    rows = [(0, "x", None, v) for v in np.vstack([good, bad]).tolist()]
+    df = spark.createDataFrame(rows, "level int, lang string, source string, features array<double>")
+    fit = Q.covariance_determinant(df).first()
     assert np.abs(fit["mean"]).max() < 0.5
     white = np.array(fit["white"]).reshape(Q.DIMENSIONS, -1)
     distance = np.square((bad - fit["mean"]) @ white.T).sum(1)
