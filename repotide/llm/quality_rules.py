@@ -33,6 +33,8 @@ CUT = 150.0
 FLOOR = (0.15, 0.1, 0.02, 0.03, 0.06, 0.15, 0.15)
 NAMES = ("word_length", "variety", "symbols", "upper", "digits", "repeats", "duplicates")
 DIMENSIONS = len(NAMES)
+#: What an estimate is for: level 0 by language and source, 1 by language, 2 of all rows.
+KEYS = ("level", "lang", "source")
 STATISTICS_DDL = (
     "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, "
     "n_dup_lines long, n_repeat_words long, features array<double>"
@@ -125,18 +127,17 @@ def _whitener(cov):
     return np.linalg.inv(np.linalg.cholesky(correlation * np.outer(wide, wide))).ravel().tolist()
 
 
-def _fitted(moments, keys):
+def _fitted(moments):
     """Adds the whitening matrix to each row of estimates."""
 
     def make():
-        def each(*row):
-            *key, rows, mean, cov = row
-            yield *key, rows, mean, _whitener(cov)
+        def each(level, lang, source, rows, mean, cov):
+            yield level, lang, source, rows, mean, _whitener(cov)
 
         return each
 
-    ddl = "".join(f"{k} string, " for k in keys) + "rows long, mean array<double>, white array<double>"
-    return map_rows(moments.select(*keys, "rows", "mean", "cov"), make, ddl)
+    ddl = "level int, lang string, source string, rows long, mean array<double>, white array<double>"
+    return map_rows(moments.select(*KEYS, "rows", "mean", "cov"), make, ddl)
 
 
 def _distance():
@@ -152,67 +153,45 @@ def _distance():
     return total
 
 
-def _with_estimates(rows, estimates, keys):
+def _with_estimates(rows, estimates, names=("mean", "white")):
     """Null-safe left join on the keys. Estimates are one row per group; Spark may split hot ones."""
-    if not keys:
-        return rows.withColumns(_literals(estimates, "rows", "mean", "white"))
-    right = estimates.select(*(F.col(k).alias(f"_{k}") for k in keys), "rows", "mean", "white")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return rows.join(right, same, "left").drop(*(f"_{k}" for k in keys))
+    right = estimates.select(*(F.col(k).alias(f"_{k}") for k in KEYS), *names)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
+    return rows.join(right, same, "left").drop(*(f"_{k}" for k in KEYS))
 
 
-def _literals(estimates, *names):
-    """The columns of the one estimate of all rows as constants; nulls if there are no rows."""
-    row = estimates.first()
-    kinds = dict(estimates.dtypes)
-    return {n: F.lit(row[n] if row else None).cast(kinds[n]) for n in names}
-
-
-def covariance_determinant(rows, keys, steps=STEPS):
-    """One robust estimate (mean, whitening matrix) per group of `rows` (keys, features)."""
+def covariance_determinant(rows, steps=STEPS):
+    """One robust estimate (mean, whitening matrix) per group of `rows` (KEYS, features)."""
     x = [F.element_at("features", k + 1) for k in range(DIMENSIONS)]
     median = F.array(*(F.percentile_approx(v, 0.5, 1000) for v in x)).alias("mean")
-    start = rows.groupBy(*keys).agg(F.count("*").alias("rows"), median)
-    spread = F.array(
-        *(
-            F.percentile_approx(F.abs(v - F.element_at("mean", k + 1)), 0.5, 1000)
-            for k, v in enumerate(x)
-        )
-    )
+    middle = write_table(rows.groupBy(*KEYS).agg(median), "mcd")
     # At first a diagonal matrix from the median deviations (1.4826 times them is a standard deviation).
-    diagonal = [k for k, (i, j) in enumerate(_pairs()) if i == j]
-    nothing = F.array(*(F.lit(0.0) for _ in range(DIMENSIONS * DIMENSIONS))).alias("white")
-    placed = _with_estimates(rows, start.select("*", nothing), keys)
-    wide = placed.groupBy(*keys).agg(F.count("*").alias("rows"), F.first("mean").alias("mean"), spread.alias("mad"))
-    cov = F.array(
-        *(
-            F.pow(1.4826 * F.element_at("mad", diagonal.index(k) + 1), 2) if k in diagonal else F.lit(0.0)
-            for k in range(len(_pairs()))
-        )
+    off = [F.abs(v - F.element_at("mean", k + 1)) for k, v in enumerate(x)]
+    spread = F.array(*(F.percentile_approx(v, 0.5, 1000) for v in off))
+    wide = _with_estimates(rows, middle, ["mean"]).groupBy(*KEYS).agg(
+        F.count("*").alias("rows"), F.first("mean").alias("mean"), spread.alias("mad")
     )
-    fit = write_table(_fitted(wide.select(*keys, "rows", "mean", cov.alias("cov")), keys), "mcd")
+    variance = {i: F.pow(1.4826 * F.element_at("mad", i + 1), 2) for i in range(DIMENSIONS)}
+    cov = F.array(*(variance[i] if i == j else F.lit(0.0) for i, j in _pairs())).alias("cov")
+    fit = write_table(_fitted(wide.select(*KEYS, "rows", "mean", cov)), "mcd")
     for _ in range(steps):
-        near = _with_estimates(rows, fit, keys).withColumn("d", _distance()).drop("rows", "mean", "white")
-        half = near.groupBy(*keys).agg(F.percentile_approx("d", 0.5, 1000).alias("half"))
-        if not keys:
-            inner = near.withColumns(_literals(half, "half"))
-        else:
-            right = half.select(*(F.col(k).alias(f"_{k}") for k in keys), "half")
-            inner = near.join(right, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-        moments = inner.where(F.col("d") <= F.col("half")).groupBy(*keys).agg(*_moments())
-        fit = write_table(_fitted(moments, keys), "mcd")
+        near = _with_estimates(rows, fit).withColumn("d", _distance()).drop("mean", "white")
+        half = near.groupBy(*KEYS).agg(F.percentile_approx("d", 0.5, 1000).alias("half"))
+        inner = _with_estimates(near, half, ["half"]).where(F.col("d") <= F.col("half"))
+        fit = write_table(_fitted(inner.groupBy(*KEYS).agg(*_moments())), "mcd")
     # The half with the smallest distances understates the spread; its median distance is set
     # to the median of the chi-square distribution.
-    near = _with_estimates(rows, fit, keys).withColumn("d", _distance())
-    scale = near.groupBy(*keys).agg(
+    near = _with_estimates(rows, fit).withColumn("d", _distance())
+    scale = near.groupBy(*KEYS).agg(
         F.count("*").alias("rows"),
         F.first("mean").alias("mean"),
         F.first("white").alias("white"),
         F.percentile_approx("d", 0.5, 1000).alias("half"),
     )
-    ratio = F.sqrt(F.lit(chi_square_median(DIMENSIONS)) / F.greatest("half", F.lit(chi_square_median(DIMENSIONS))))
+    usual = F.lit(chi_square_median(DIMENSIONS))
+    ratio = F.sqrt(usual / F.greatest("half", usual))
     return write_table(
-        scale.select(*keys, "rows", "mean", F.transform("white", lambda w: w * ratio).alias("white")), "mcd"
+        scale.select(*KEYS, "rows", "mean", F.transform("white", lambda w: w * ratio).alias("white")), "mcd"
     )
 
 
@@ -226,18 +205,29 @@ def chi_square_median(d):
 
 def robust_outliers(statistics, min_rows=MIN_ROWS, cut=CUT):
     """Adds `distance` (squared) and `outlier` to text statistics; estimates use rows that pass
-    the base rules."""
+    the base rules. Groups by source, by language and of all rows are estimated side by side."""
     rows = base_rules(statistics)
-    usable = rows.where(~F.col("base_failed")).select("lang", "source", "features")
-    out = rows
-    levels = (["lang", "source"], ["lang"], [])
-    for k, keys in enumerate(levels):
-        fit = covariance_determinant(usable, keys)
-        fit = fit.where(F.col("rows") >= (min_rows if keys else 1))
-        placed = _with_estimates(out, fit, keys)
-        out = placed.withColumn(f"d{k}", _distance()).drop("rows", "mean", "white")
+    none = F.lit(None).cast("string")
+    levels = [(F.col("lang"), F.col("source")), (F.col("lang"), none), (none, none)]
+    structs = [
+        F.struct(F.lit(k).alias("level"), lang.alias("lang"), source.alias("source"))
+        for k, (lang, source) in enumerate(levels)
+    ]
+    usable = rows.where(~F.col("base_failed")).select(F.inline(F.array(*structs)), "features")
+    fit = covariance_determinant(usable)
+    fit = fit.where((F.col("rows") >= min_rows) | (F.col("level") == len(levels) - 1))
+    out = rows.withColumnsRenamed({"lang": "_own_lang", "source": "_own_source"})
+    for k, keys in enumerate((["_own_lang", "_own_source"], ["_own_lang"])):
+        own = {c: F.col(keys[i]) if i < len(keys) else none for i, c in enumerate(("lang", "source"))}
+        placed = _with_estimates(out.withColumns({"level": F.lit(k), **own}), fit)
+        out = placed.withColumn(f"d{k}", _distance()).drop("mean", "white", *KEYS)
+    last = fit.where(F.col("level") == len(levels) - 1).first()  # one row, or none without usable rows
+    for name in ("mean", "white"):
+        out = out.withColumn(name, F.lit(last[name] if last else None).cast("array<double>"))
+    out = out.withColumn("d2", _distance()).drop("mean", "white")
     distance = F.coalesce("d0", "d1", "d2", F.lit(0.0))
-    return out.withColumn("distance", distance).withColumn("outlier", distance > cut).drop("d0", "d1", "d2")
+    out = out.withColumn("distance", distance).withColumn("outlier", distance > cut).drop("d0", "d1", "d2")
+    return out.withColumnsRenamed({"_own_lang": "lang", "_own_source": "source"})
 
 
 def judged(docs, min_rows=MIN_ROWS, cut=CUT):
