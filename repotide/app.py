@@ -7,6 +7,7 @@ spark-submit repotide/app.py --out /data/run --source kafka \\
 
 import argparse
 import sys
+import threading
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -17,13 +18,18 @@ from repotide.sources.ndjson import stream_lines  # noqa: E402
 from repotide.streaming import landing, lifetime, recent, refresh  # noqa: E402
 
 
+# How often a run that publishes seldom looks for unpublished work.
+PAUSE_SECONDS = 600
+
+
 def run(spark, lines, out, languages=LANGUAGES, interval=BATCH_INTERVAL, refresh_every=1):
     """Start the three jobs on a stream of lines; tables and checkpoints go below `out`.
 
     The landing job parses. The other two read its table, so each has its own checkpoint
     and can be restarted alone. With `interval=None` each job stops once it has caught up.
     Topics and similarity read all lifetime texts, so a large deployment publishes only
-    every `refresh_every`-th micro-batch.
+    every `refresh_every`-th micro-batch; `publish_pending`, the second value returned,
+    publishes what has been folded since, and is called when a run ends or input pauses.
     """
     path = lambda name: f"{out}/{name}"
     jobs = [landing.land(lines, path("landed"), path("checkpoints/landed"), interval=interval)]
@@ -34,26 +40,28 @@ def run(spark, lines, out, languages=LANGUAGES, interval=BATCH_INTERVAL, refresh
 
     good = landing.landed_stream(spark, path("landed")).where("not bad")
     jobs.append(
-        recent.maintain_recent_history(
-            good, path("history"), path("checkpoints/history"), languages, interval=interval
-        )
+        recent.maintain_pushes(good, path("pushes"), path("checkpoints/pushes"), interval=interval)
     )
     if interval is None:
         jobs[1].awaitTermination()
 
-    def publish(new, batch_id):
-        refresh.fold_counts(new, path("totals"), batch_id, languages)
-        if batch_id % refresh_every:
-            return
-        refresh.refresh(
-            spark,
-            path("repos"),
-            path("history"),
-            path("totals"),
-            path("snapshot"),
-            batch_id,
-            languages,
-        )
+    pending, lock = set(), threading.Lock()
+
+    def publish_pending():
+        with lock:
+            if not pending:
+                return
+            pending.clear()
+            refresh.refresh(
+                spark, path("repos"), path("pushes"), path("totals"), path("snapshot"), languages
+            )
+
+    def fold(new, batch_id):
+        with lock:
+            refresh.fold_counts(new, path("totals"), batch_id, languages)
+            pending.add(batch_id)
+        if batch_id % refresh_every == 0:
+            publish_pending()
 
     jobs.append(
         lifetime.maintain_repos(
@@ -62,13 +70,14 @@ def run(spark, lines, out, languages=LANGUAGES, interval=BATCH_INTERVAL, refresh
             path("index"),
             path("repos"),
             path("checkpoints/repos"),
-            after=publish,
+            after=fold,
             interval=interval,
         )
     )
     if interval is None:
         jobs[2].awaitTermination()
-    return jobs
+        publish_pending()
+    return jobs, publish_pending
 
 
 def main():
@@ -89,9 +98,11 @@ def main():
         options["path"] = args.path
     lines = stream_lines(spark, args.source, **options)
     interval = None if args.once else args.interval
-    run(spark, lines, args.out, tuple(args.language or LANGUAGES), interval, args.refresh_every)
-    if not args.once:
-        spark.streams.awaitAnyTermination()
+    _, publish_pending = run(
+        spark, lines, args.out, tuple(args.language or LANGUAGES), interval, args.refresh_every
+    )
+    while not args.once and not spark.streams.awaitAnyTermination(PAUSE_SECONDS):
+        publish_pending()
 
 
 if __name__ == "__main__":

@@ -3,26 +3,22 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-# Up to 1000, Spark itself keeps only k rows per group and task before it shuffles
-# (WindowGroupLimit; spark.sql.optimizer.windowGroupLimitThreshold).
-# From this k on, k rows from each of thousands of tasks are too many for one last task.
-SALTED_FROM = 100
+# Parts of a group that are ranked on their own first.
 SALTS = 64
 
 
 def top_k(df, group, order, k, rank="rank"):
     """The first k rows of each group as `rank` 1..k. `order` must be a total order.
 
-    For a large k, rows are first ranked within SALTS parts of each group, on as many tasks.
-    The task that ranks a whole group then gets at most SALTS * k rows, however large the
-    group and however many tasks there were.
+    Rows are first ranked within SALTS parts of each group, on as many tasks. Before that
+    shuffle Spark keeps k rows per part and task (WindowGroupLimit; the session raises its
+    threshold for k). The task that ranks a whole group then gets at most SALTS * k rows,
+    however large the group and however many tasks there were.
     """
     group, order = list(group), list(order)
-    if k >= SALTED_FROM:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
-        df = _ranked(df.withColumn("_salt", salt), [*group, "_salt"], order, k, "_rank")
-        df = df.drop("_salt", "_rank")
-    return _ranked(df, group, order, k, rank)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+    df = _ranked(df.withColumn("_salt", salt), [*group, "_salt"], order, k, "_rank")
+    return _ranked(df.drop("_salt", "_rank"), group, order, k, rank)
 
 
 def _ranked(df, group, order, k, rank):

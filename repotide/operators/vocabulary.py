@@ -9,9 +9,12 @@ from repotide.contract import LANGUAGES, STOP_WORDS, VOCABULARY_SIZE
 from repotide.functions.expressions import target_language
 from repotide.functions.text import drop_stop_words, ml_tokens, term_counts
 from repotide.operators.ranking import top_k
+from repotide.scratch import write_table
 
-# Rows a broadcast side may have at most; a larger vocabulary is joined by shuffle.
-BROADCAST_ROWS = 200_000
+# Bytes of terms that a side may have to be broadcast; a larger one is joined by shuffle.
+BROADCAST_BYTES = 32 << 20
+# Copies of the terms in that join, so that a frequent term is not one task's work.
+SALTS = 16
 
 
 def text_eligible(repos, languages=LANGUAGES):
@@ -52,15 +55,23 @@ def term_statistics(docs, stop_words=STOP_WORDS):
     """(language, term, corpus_count, doc_count), plus one row per language with a null term
     and a corpus_count of 0 that holds the number of documents.
 
-    Counting the documents along with the terms saves a second pass over the texts.
+    Counting the documents along with the terms saves a second pass over the texts. Each token
+    adds one to its corpus count, each distinct one of a document one to its document count;
+    both are summed in each task before the shuffle.
     """
-    marker = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
-    counted = counted_terms(stop_words)
-    entries = F.concat(marker, F.coalesce(counted, F.slice(marker, 1, 0)))
+    entry = lambda term, corpus, docs: F.struct(
+        term.alias("term"), F.lit(corpus).cast("long").alias("corpus"), F.lit(docs).cast("long").alias("docs")
+    )
+    tokenized = filtered_tokens(docs, stop_words).select("language", F.explode(F.array("tokens")).alias("tokens"))
+    entries = F.concat(
+        F.array(entry(F.lit(None).cast("string"), 0, 1)),
+        F.transform("tokens", lambda t: entry(t, 1, 0)),
+        F.transform(F.array_distinct("tokens"), lambda t: entry(t, 0, 1)),
+    )
     return (
-        docs.select("language", F.inline(entries))
+        tokenized.select("language", F.inline(entries))
         .groupBy("language", "term")
-        .agg(F.sum("tf").alias("corpus_count"), F.count("*").alias("doc_count"))
+        .agg(F.sum("corpus").alias("corpus_count"), F.sum("docs").alias("doc_count"))
     )
 
 
@@ -83,22 +94,26 @@ def idf_weights(vocab, docs_per_language):
     return vocab.join(F.broadcast(docs_per_language), "language").withColumn("idf", idf)
 
 
-def bounded_broadcast(df, rows):
-    """Broadcast `df` if `rows`, an upper bound of its size, is small enough."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def join_terms(rows, terms):
+    """Inner join of `rows` with `terms` on (language, term), whatever the size of `terms`.
+
+    The terms are written once and their bytes summed. Beyond BROADCAST_BYTES both sides are
+    shuffled by term and salt.
+    """
+    terms = write_table(terms, "terms")
+    size = terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(terms), ["language", "term"])
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
+    copies = terms.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.withColumn("_salt", salt).join(copies, ["language", "term", "_salt"]).drop("_salt")
 
 
-def vocabulary_frequencies(docs, vocab, rows, stop_words=STOP_WORDS):
-    """Counts of vocabulary terms per document. `rows` bounds the size of `vocab`."""
-    side = bounded_broadcast(vocab.select("language", "term"), rows)
-    return term_frequencies(docs, stop_words).join(side, ["language", "term"])
+def vocabulary_frequencies(docs, vocab, stop_words=STOP_WORDS):
+    """Counts of vocabulary terms per document."""
+    return join_terms(term_frequencies(docs, stop_words), vocab.select("language", "term"))
 
 
-def tfidf_weights(docs, idf, rows, stop_words=STOP_WORDS):
-    side = bounded_broadcast(idf.select("language", "term", "idf"), rows)
-    return (
-        term_frequencies(docs, stop_words)
-        .join(side, ["language", "term"])
-        .withColumn("weight", F.col("tf") * F.col("idf"))
-        .drop("idf")
-    )
+def tfidf_weights(docs, idf, stop_words=STOP_WORDS):
+    weighted = join_terms(term_frequencies(docs, stop_words), idf.select("language", "term", "idf"))
+    return weighted.withColumn("weight", F.col("tf") * F.col("idf")).drop("idf")

@@ -255,8 +255,11 @@ FROM uniq GROUP BY language""",
     "stream_recent_counts": f"""WITH {BATCHES}
 SELECT {_stamp("batch_time")} AS batch_time, language, count(*) AS count FROM bu
 WHERE batch_time - pushed_at <= INTERVAL 12 HOUR
-  AND batch_time <= (SELECT max(ts) FROM events)
 GROUP BY bu.batch_time, language""",
+    "stream_batch_metrics": """
+SELECT 0::BIGINT AS batch, (SELECT count(*) FROM events) + n AS input_rows, n AS bad_rows, 0::BIGINT AS uptime_seconds
+FROM (SELECT sum(len(string_split(text, chr(10))))::BIGINT AS n FROM documents)""",
+    "arrival_order": f"SELECT user_id AS id, {_stamp('min(ts)')} AS pushed_at FROM events GROUP BY user_id",
     "available_languages": f"WITH {UNIQUE} SELECT DISTINCT language FROM uniq WHERE language <> ''",
     "total_count_by_language": f"WITH {UNIQUE} SELECT language, count(*) AS count FROM uniq GROUP BY ALL",
     "zero_fill_languages": f"""WITH {_history("1 HOUR", (*EVENT_LANGUAGES, "fork"))}

@@ -153,9 +153,9 @@ def sink_batch_history(spark, sf):
 
 @query
 def stream_batch_metrics(spark, sf):
-    lines = _event_lines(spark, sf)
-    _, job = _land(spark, lines, EVENT_SCHEMA, "metrics")
-    return landing.batch_metrics(spark, job)
+    lines = _mixed_lines(spark, sf)
+    table, _ = _land(spark, lines, EVENT_SCHEMA, "metrics")
+    return landing.batch_metrics(landing.landed(spark, table, EVENT_SCHEMA))
 
 
 @query
@@ -175,7 +175,7 @@ def _small_payload(spark, sf):
     repos = tables.documents(spark, sf)
     history = counts.recent_push_history(_batch_unique(spark, sf), HALF_DAY, EVENT_LANGUAGES)
     sections = report.count_sections(repos, TEXT_LANGUAGES)
-    sections["req2"] = history.select("batch_time", "language", "count")
+    sections["req2"] = report.recent_section(history)
     sections["req4"] = report.word_section(repos, TEXT_LANGUAGES)
     return report.snapshot_payload(sections)
 
@@ -246,11 +246,21 @@ def stream_avg_stars(spark, sf):
 
 @query
 def stream_recent_counts(spark, sf):
-    out = scratch_path(spark, "recent")
-    result = recent.replayed_recent_counts(tables.event_stream(spark, sf), DAY, HALF_DAY)
-    writer = result.writeStream.outputMode("append").format("parquet").option("path", out)
-    finish(start(writer, scratch_path(spark, "recent-checkpoint")))
-    return spark.read.schema(result.schema).parquet(out).withColumns(as_text("batch_time"))
+    path = scratch_path(spark, "pushes")
+    stream = recent.replayed(tables.event_stream(spark, sf), DAY)
+    finish(recent.maintain_pushes(stream, path, scratch_path(spark, "pushes-checkpoint")))
+    return recent.recent_counts(spark, path, HALF_DAY).withColumns(as_text("batch_time"))
+
+
+@query
+def arrival_order(spark, sf):
+    """Events whose lines carry no sequence number: the first to arrive wins, whenever pushed."""
+    lines = ndjson.to_lines(tables.events(spark, sf).drop("seq").orderBy("pushed_at", F.desc("id")))
+    table, _ = _land(spark, lines.coalesce(1), EVENT_SCHEMA, "arrival")
+    landed = landing.landed(spark, table, EVENT_SCHEMA)
+    return state.dedup_first_seen(landed.drop("line", "bad", "batch", "batch_time")).select(
+        "id", F.date_format("pushed_at", "yyyy-MM-dd HH:mm:ss").alias("pushed_at")
+    )
 
 
 @query
@@ -259,24 +269,15 @@ def stream_text_refresh(spark, sf):
     table, _ = _land(spark, lines, TEXT_SCHEMA, "refresh")
     path = {
         name: scratch_path(spark, f"refresh-{name}")
-        for name in ("index", "repos", "history", "totals", "latest", "pushes", "checkpoint")
+        for name in ("index", "repos", "pushes", "totals", "latest", "pushed", "checkpoint")
     }
-    pushes = tables.event_stream(spark, sf)
-    finish(
-        recent.maintain_recent_history(pushes, path["history"], path["pushes"], EVENT_LANGUAGES)
-    )
+    pushes = recent.replayed(tables.event_stream(spark, sf), DAY)
+    finish(recent.maintain_pushes(pushes, path["pushes"], path["pushed"]))
 
     def publish(new, batch_id):
         refresh.fold_counts(new, path["totals"], batch_id, TEXT_LANGUAGES)
         refresh.refresh(
-            spark,
-            path["repos"],
-            path["history"],
-            path["totals"],
-            path["latest"],
-            batch_id,
-            TEXT_LANGUAGES,
-            AS_OF,
+            spark, path["repos"], path["pushes"], path["totals"], path["latest"], TEXT_LANGUAGES, AS_OF
         )
 
     finish(
@@ -374,9 +375,6 @@ def _vocabulary(statistics, min_df=1):
     return vocabulary.vocabulary(statistics, min_df)
 
 
-ROWS = 1000 * len(TEXT_LANGUAGES)
-
-
 @query
 def text_eligible(spark, sf):
     docs = vocabulary.text_eligible(tables.documents(spark, sf), ("en", "fr"))
@@ -414,7 +412,7 @@ def vocab_topn(spark, sf):
 def term_frequency(spark, sf):
     docs = _docs(spark, sf)
     vocab = _vocabulary(vocabulary.term_statistics(docs))
-    return vocabulary.vocabulary_frequencies(docs, vocab, ROWS)
+    return vocabulary.vocabulary_frequencies(docs, vocab)
 
 
 def _idf(docs):
@@ -431,7 +429,7 @@ def idf_weights(spark, sf):
 @query
 def tfidf_vectors(spark, sf):
     docs = _docs(spark, sf)
-    weights = vocabulary.tfidf_weights(docs, _idf(docs), ROWS)
+    weights = vocabulary.tfidf_weights(docs, _idf(docs))
     return weights.select("language", "id", "term", "tf", F.round("weight", 6).alias("weight"))
 
 

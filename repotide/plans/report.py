@@ -58,6 +58,13 @@ def trend_section(repos, as_of, languages=LANGUAGES):
     return trends.trend_report(trends.monthly_trend(rows))
 
 
+def recent_section(history):
+    """req2 in time order, with the time itself and the label that is shown."""
+    return history.select(
+        "batch_time", "language", "count", F.date_format("batch_time", "HH:mm:ss").alias("batch_label")
+    )
+
+
 def all_sections(
     repos,
     history,
@@ -71,12 +78,9 @@ def all_sections(
 
     Running totals, if given, save a pass over all repositories each.
     """
-    labelled = history.select(
-        F.date_format("batch_time", "HH:mm:ss").alias("batch_time"), "language", "count"
-    )
     return {
         **count_sections(repos, languages, language_totals),
-        "req2": labelled,
+        "req2": recent_section(history),
         "req4": word_section(repos, languages, word_counts),
         "req5": topic_section(repos, languages),
         "req6": entity_section(repos, languages, entity_counts=entity_counts),

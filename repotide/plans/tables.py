@@ -11,16 +11,9 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df):
-    """A test table is one file with one row group, which one task would read alone. Deal its
-    rows out if the scan has fewer splits than there are cores; a large table never does."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark, sf_dir):
     """Texts. Arrival order is the id order; there is no push or creation time."""
-    d = table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("doc_id").alias("seq"),
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"),
@@ -29,7 +22,6 @@ def documents(spark, sf_dir):
         F.col("n_chars").alias("stargazers_count"),
         F.lit(None).cast("timestamp").alias("created_at"),
     )
-    return spread(d)
 
 
 def _event_columns(events):

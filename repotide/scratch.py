@@ -1,29 +1,34 @@
 """Intermediate tables in the shared folder the cluster names in spark.checkpoint.dir.
 
-A written table cuts lineage and survives the loss of executors. Local mode without the
-setting (tests, a laptop) gets a temporary folder; a cluster without it is an error,
-because a machine-local folder would not be visible to the other executors. Tables are
-kept in a folder per application, which can be deleted when the application has ended.
+A written table cuts lineage and survives the loss of executors. In-process local mode without
+the setting (tests, a laptop) gets a temporary folder; anything with executors of its own needs
+the setting, because a machine-local folder would not be visible to them. Tables are kept in a
+folder per application; `temporary` deletes those of a block of work when it ends.
 """
 
+import contextlib
+import re
 import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
 
 SETTING = "spark.checkpoint.dir"
+_scopes = {}
 
 
 def scratch_path(spark, label):
     base = spark.conf.get(SETTING, None)
     if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError(f"set {SETTING} to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="repotide-")
         spark.conf.set(SETTING, base)
     application = spark.sparkContext.applicationId
-    return f"{base.rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
+    for paths in _scopes.values():
+        paths.append(path)
+    return path
 
 
 def write_table(df, label):
@@ -33,6 +38,25 @@ def write_table(df, label):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark, path):
+    """Delete a folder of tables on whatever file system it is; nothing happens if it is gone."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def temporary(spark):
+    """Scratch tables made inside the block are deleted after it; read nothing of them later."""
+    key, paths = object(), []
+    _scopes[key] = paths
+    try:
+        yield
+    finally:
+        del _scopes[key]
+        for path in paths:
+            delete(spark, path)
+
+
 def read_existing(spark, path, schema=None):
     """The Parquet table at `path`, or None if nothing has been written there yet."""
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Top-k of any k is cut in each task before its shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # Lifetime state ("once ever") outgrows the heap; RocksDB keeps it on disk.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

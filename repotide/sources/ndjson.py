@@ -6,13 +6,22 @@ from pyspark.sql import types as T
 from repotide.contract import REPO_SCHEMA, WIRE_TIMESTAMP
 
 CORRUPT = "_corrupt"
+# Where a line stood in its source; sorts as the lines arrived.
+POSITION = "_position"
 
 
 def stream_lines(spark, source="text", **options):
-    """An unbounded stream of lines as `value`. Any source with a `value` column will do:
-    a folder of text files (the default, replayable), Kafka, or a socket."""
-    reader = spark.readStream.format(source).options(**options)
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    """An unbounded stream of lines as `value`, with the place each came from. Any source with
+    a `value` column will do: a folder of text files (the default, replayable), Kafka, or a
+    socket, which has no places."""
+    read = spark.readStream.format(source).options(**options).load()
+    value = F.col("value").cast("string").alias("value")
+    if {"partition", "offset", "timestamp"} <= set(read.columns):
+        return read.select(value, F.struct("timestamp", "partition", "offset").alias(POSITION))
+    if source in ("text", "json", "parquet"):
+        places = [F.col(f"_metadata.{c}") for c in ("file_modification_time", "file_path", "file_block_start")]
+        return read.select(value, F.struct(*places).alias(POSITION))
+    return read.select(value)
 
 
 def parse_lines(lines, schema=REPO_SCHEMA):
@@ -25,7 +34,8 @@ def parse_lines(lines, schema=REPO_SCHEMA):
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_json("value", with_corrupt, options)
-    parsed = lines.select(F.col("value").alias("line"), F.inline(F.array(record)))
+    carried = [c for c in lines.columns if c == POSITION]
+    parsed = lines.select(F.col("value").alias("line"), *carried, F.inline(F.array(record)))
     required = [c for c in ("id", "pushed_at") if c in schema.names]
     bad = F.col(CORRUPT).isNotNull()
     for column in required:

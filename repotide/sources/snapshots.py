@@ -1,49 +1,85 @@
-"""Small result tables of which only the latest version matters.
+"""Small result tables of which only the latest version matters, and running totals.
 
-A table has two slots. Version n overwrites slot n modulo 2, so the version before it stays
-readable meanwhile, writing a version twice changes nothing, and nothing piles up.
+A version is written into a folder of its own; a row in the `published` table then makes it
+the latest. Readers follow that table, so they never meet a version that is being written, a
+writer that dies in between leaves the version before in place, and writing a version twice
+changes nothing. All but the last few versions are deleted.
+
+Running totals are a published base version and one small table of deltas for each later
+batch; every COMPACT_EVERY batches the deltas become part of a new base.
 """
 
 from pyspark.sql import functions as F
 
-from repotide.scratch import read_existing
+from repotide.scratch import delete, read_existing
+
+KEPT = 3
+COMPACT_EVERY = 16
 
 
 def write_version(df, path, version):
+    """Write `df` as `version` of the table at `path` and make it the latest."""
+    spark = df.sparkSession
     df.withColumn("version", F.lit(version).cast("long")).write.mode("overwrite").parquet(
-        f"{path}/slot={version % 2}"
+        f"{path}/data/{version}"
     )
+    pointer = spark.range(1).select(F.lit(version).cast("long").alias("number"))
+    pointer.write.mode("overwrite").parquet(f"{path}/published/number_{version}")
+    for old in published(spark, path)[:-KEPT]:
+        delete(spark, f"{path}/published/number_{old}")
+        delete(spark, f"{path}/data/{old}")
 
 
-def read_versions(spark, path):
-    """The one or two kept versions, or None if nothing has been written yet."""
-    slots = read_existing(spark, path)
-    return None if slots is None else slots.drop("slot")
+def published(spark, path):
+    """Numbers of the published versions, in order."""
+    table = read_existing(spark, f"{path}/published/number_*", "number long")
+    return [] if table is None else sorted(r[0] for r in table.distinct().collect())
 
 
-def read_latest(spark, path):
-    """A reader beside a running writer may meet a slot being replaced; it then reads again."""
-    versions = read_versions(spark, path)
-    if versions is None:
-        return None
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == newest)
+def next_version(spark, path):
+    """The number after the latest published version, counted from 0."""
+    known = published(spark, path)
+    return known[-1] + 1 if known else 0
+
+
+def read_latest(spark, path, below=None):
+    """The latest published version (below a number, if given), or None."""
+    known = [n for n in published(spark, path) if below is None or n < below]
+    return read_existing(spark, f"{path}/data/{known[-1]}") if known else None
 
 
 def add_to_totals(delta, path, version, keys, sums, mins=()):
-    """Fold the counts of batch `version` into the running totals of the batch before."""
-    columns = [*keys, *sums, *mins]
-    totals = delta.select(*columns)
-    slots = read_existing(delta.sparkSession, path)
-    if slots is not None:
-        # The filter on `slot` keeps the scan off the files that are about to be replaced.
-        other = F.col("slot") == (version - 1) % 2
-        before = slots.where(other & (F.col("version") == version - 1))
-        totals = totals.unionByName(before.select(*columns))
-    folded = totals.groupBy(*keys).agg(
+    """Add the counts of batch `version` to the running totals. A repeated batch replaces its
+    own delta, and does nothing once a base holds it."""
+    spark, columns = delta.sparkSession, [*keys, *sums, *mins]
+    bases = published(spark, path)
+    base = bases[-1] if bases else -1
+    if version <= base:
+        return
+    delta.select(*columns).withColumn("version", F.lit(version).cast("long")).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/deltas/{version}")
+    if version - base >= COMPACT_EVERY:
+        folded = read_totals(spark, path, keys, sums, mins)
+        write_version(folded, path, version)
+        for old in range(base + 1, version + 1):
+            delete(spark, f"{path}/deltas/{old}")
+
+
+def read_totals(spark, path, keys, sums, mins=()):
+    """The running totals: the base and the deltas after it, summed; None before the first."""
+    bases = published(spark, path)
+    base = bases[-1] if bases else -1
+    parts = read_existing(spark, f"{path}/deltas/*")
+    rows = None if parts is None else parts.where(F.col("version") > base).drop("version")
+    if bases:
+        start = read_existing(spark, f"{path}/data/{base}").drop("version")
+        rows = start if rows is None else start.unionByName(rows)
+    if rows is None:
+        return None
+    return rows.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in sums], *[F.min(c).alias(c) for c in mins]
     )
-    write_version(folded, path, version)
 
 
 def publish_snapshot(payload, path, version):

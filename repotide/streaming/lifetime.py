@@ -15,6 +15,9 @@ from repotide.streaming.landing import landed, landed_stream, stamp_batch
 from repotide.streaming.run import start, with_rocksdb
 
 
+LANGUAGE_TOTALS = (["language"], ["repos", "stars", "rated"])
+
+
 def first_seen_updates(stream, carry, arrival=("batch_time", "seq")):
     """Per id touched by a micro-batch: its first version, and whether that is new."""
     arrival = F.struct(*arrival)
@@ -34,8 +37,7 @@ def newly_seen(updates):
 
 
 def fold_language_totals(new, path, version):
-    totals = counts.language_totals(new)
-    snapshots.add_to_totals(totals, path, version, ["language"], ["repos", "stars", "rated"])
+    snapshots.add_to_totals(counts.language_totals(new), path, version, *LANGUAGE_TOTALS)
 
 
 def maintain_totals(stream, path, checkpoint, interval=None):
@@ -52,12 +54,16 @@ def maintain_totals(stream, path, checkpoint, interval=None):
     return start(updates.writeStream.outputMode("update").foreachBatch(fold), checkpoint, interval)
 
 
+def language_totals(spark, path):
+    return snapshots.read_totals(spark, path, *LANGUAGE_TOTALS)
+
+
 def lifetime_counts(spark, path):
-    return counts.counts_of_totals(snapshots.read_latest(spark, path))
+    return counts.counts_of_totals(language_totals(spark, path))
 
 
 def lifetime_averages(spark, path):
-    return counts.averages_of_totals(snapshots.read_latest(spark, path))
+    return counts.averages_of_totals(language_totals(spark, path))
 
 
 def maintain_repos(
@@ -74,9 +80,9 @@ def maintain_repos(
         part = f"batch_id={batch_id}"
         newly_seen(updates).write.mode("overwrite").parquet(f"{index}/{part}")
         new = spark.read.parquet(f"{index}/{part}")
-        # One value per landed micro-batch that this one consumed.
-        batches = [row.batch for row in new.select("batch").distinct().collect()]
-        source = landed(spark, table, schema).where(F.col("batch").isin(batches) & ~F.col("bad"))
+        # Spark reads only the landed partitions of the batches in `new` (dynamic pruning).
+        source = landed(spark, table, schema).where(~F.col("bad"))
+        source = source.join(new.select("batch").distinct(), "batch", "left_semi")
         rows = source.join(new, ["batch", "id", "seq"], "left_semi")
         first_seen(rows.drop("line", "bad", "batch"), ["id"]).write.mode("overwrite").parquet(
             f"{repos}/{part}"

@@ -1,54 +1,61 @@
-"""Recent pushes per batch."""
+"""Recent pushes per batch, from a stream in any order.
+
+A streaming aggregation keeps the first version of each repository in each batch. Its updates
+are written per micro-batch; a reader takes the latest version of each (batch, repository) and
+counts. So a late row or a batch that arrives over several micro-batches changes the counts of
+its own batch, no batch is left out, and a repeated micro-batch replaces its own rows. State
+holds one row per batch and repository; `late` bounds it where a producer promises a delay.
+"""
 
 from pyspark.sql import functions as F
 
 from repotide.contract import BATCH_INTERVAL, LANGUAGES, RECENT_PUSH_AGE
-from repotide.operators.counts import recent_push_history, recently_pushed
-from repotide.operators.state import dedup_within_batch
-from repotide.streaming.landing import stamp_batch
+from repotide.operators.counts import recent_push_counts, recent_push_history
+from repotide.operators.state import assign_batch
+from repotide.scratch import read_existing
 from repotide.streaming.run import start, with_rocksdb
 
+PUSHES = "batch_time timestamp, id long, seq long, language string, pushed_at timestamp"
 
-def replayed_recent_counts(stream, interval=BATCH_INTERVAL, max_age=RECENT_PUSH_AGE, late="0 seconds"):
-    """Counts per closed tumbling batch, from event time alone, so a replay gives the same.
-
-    Two chained aggregations: the first version of each id in the batch, reduced in each
-    task before the shuffle, then the count. The watermark bounds the state to open batches.
-    """
-    firsts = (
-        with_rocksdb(stream)
-        .withWatermark("pushed_at", late)
-        .groupBy(F.window("pushed_at", interval).alias("batch"), "id")
-        .agg(
-            F.min_by("language", "seq").alias("language"),
-            F.min_by("pushed_at", "seq").alias("pushed_at"),
-        )
-    )
-    timed = firsts.select(
-        F.col("batch.end").alias("batch_time"),
-        F.window_time("batch").alias("closed_at"),
-        "language",
-        "pushed_at",
+
+def maintain_pushes(stream, path, checkpoint, late=None, interval=None):
+    """Write the first push of each repository in each `batch_time` to the table at `path`."""
+    narrow = with_rocksdb(stream).select("batch_time", "id", "seq", "language", "pushed_at")
+    if late:
+        narrow = narrow.withWatermark("batch_time", late)
+    firsts = narrow.groupBy("batch_time", "id").agg(
+        F.min("seq").alias("seq"),
+        F.min_by("language", "seq").alias("language"),
+        F.min_by("pushed_at", "seq").alias("pushed_at"),
     )
-    return (
-        timed.where(recently_pushed(max_age))
-        .groupBy(F.window("closed_at", interval).alias("batch"), "language")
-        .agg(F.count("*").alias("count"))
-        .select(F.col("batch.end").alias("batch_time"), "language", "count")
+
+    def write(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return start(firsts.writeStream.outputMode("update").foreachBatch(write), checkpoint, interval)
+
+
+def replayed(stream, interval=BATCH_INTERVAL):
+    """Rows without a batch of their own, in tumbling batches by push time."""
+    return assign_batch(stream, interval)
+
+
+def pushes(spark, path, since=None):
+    """Rows unique by (batch_time, id), as they stand now; `since` prunes older batches."""
+    rows = read_existing(spark, path, f"{PUSHES}, batch_id long")
+    if rows is None:
+        return spark.createDataFrame([], PUSHES)
+    if since is not None:
+        rows = rows.where(F.col("batch_time") >= F.lit(since))
+    return rows.groupBy("batch_time", "id").agg(
+        *[F.max_by(c, "batch_id").alias(c) for c in ("seq", "language", "pushed_at")]
     )
 
 
-def maintain_recent_history(
-    stream, path, checkpoint, languages=LANGUAGES, max_age=RECENT_PUSH_AGE, interval=None
-):
-    """Live form: appends the zero-filled counts of each batch; a repeated micro-batch replaces
-    its own rows. Landed rows keep the time their batch was landed, so a late start of this
-    job does not age them; for other streams the micro-batch is the batch."""
+def recent_counts(spark, path, max_age=RECENT_PUSH_AGE):
+    return recent_push_counts(pushes(spark, path), max_age)
 
-    def append(rows, batch_id):
-        history = recent_push_history(dedup_within_batch(rows), max_age, languages)
-        history.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    stamped = stream if "batch_time" in stream.columns else stamp_batch(stream)
-    narrow = stamped.select("batch_time", "id", "seq", "language", "pushed_at")
-    return start(narrow.writeStream.foreachBatch(append), checkpoint, interval)
+def recent_history(spark, path, languages=LANGUAGES, max_age=RECENT_PUSH_AGE, since=None):
+    """The zero-filled counts of each batch."""
+    return recent_push_history(pushes(spark, path, since), max_age, languages)

@@ -5,54 +5,58 @@ so they are folded into running totals and cost a pass over the new rows. Trends
 narrow columns. Topics and similarity depend on all texts of the lifetime table.
 """
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
-from repotide.contract import LANGUAGES
+from repotide.contract import LANGUAGES, RECENT_PUSH_AGE
 from repotide.operators import entities, vocabulary, words
 from repotide.plans.report import all_sections, snapshot_payload
-from repotide.scratch import read_existing
+from repotide.scratch import read_existing, temporary
 from repotide.sources import snapshots
-from repotide.streaming.lifetime import fold_language_totals
+from repotide.streaming import recent
+from repotide.streaming.lifetime import fold_language_totals, language_totals
 from repotide.streaming.run import start
 
-HISTORY = "batch_time timestamp, language string, count long"
-ENTITY_KEYS = ["language", "entity_type", "name", "entry"]
+WORD_TOTALS = (["language", "word"], ["count"])
+ENTITY_TOTALS = (["language", "entity_type", "name", "entry"], ["count"], ["first_seq"])
+# The payload lists the recent pushes of this many hours; the table keeps all batches.
+HISTORY_HOURS = 24
 
 
 def fold_counts(new, totals, version, languages=LANGUAGES):
     """Add `new` repositories to the running counts of languages, words and entities."""
     fold_language_totals(new, f"{totals}/languages", version)
-    snapshots.add_to_totals(
-        words.word_counts(new), f"{totals}/words", version, ["language", "word"], ["count"]
-    )
+    snapshots.add_to_totals(words.word_counts(new), f"{totals}/words", version, *WORD_TOTALS)
     mentions = entities.entity_mentions(vocabulary.text_eligible(new, languages))
-    snapshots.add_to_totals(
-        entities.entity_counts(mentions),
-        f"{totals}/entities",
-        version,
-        ENTITY_KEYS,
-        ["count"],
-        ["first_seq"],
-    )
-
-
-def refresh(spark, repos, history, totals, snapshot, version, languages=LANGUAGES, as_of=None):
-    """Publish the payload; the tables are given by path. `as_of` dates undated languages."""
-    unique = spark.read.parquet(repos).drop("batch_id")
-    recent = read_existing(spark, history, HISTORY)
-    if recent is None:
-        recent = spark.createDataFrame([], HISTORY)
+    found = entities.entity_counts(mentions)
+    snapshots.add_to_totals(found, f"{totals}/entities", version, *ENTITY_TOTALS)
+
+
+def refresh(
+    spark, repos, pushes, totals, snapshot, languages=LANGUAGES, as_of=None, hours=HISTORY_HOURS, max_age=RECENT_PUSH_AGE
+):
+    """Publish the payload as the next version; the tables are given by path. `as_of` dates
+    undated languages. Scratch tables of the refresh are deleted."""
+    unique = read_existing(spark, repos)
+    if unique is None:
+        return
+    newest = recent.pushes(spark, pushes).agg(F.max("batch_time")).first()[0]
+    since = newest and newest - timedelta(hours=hours)
+    history = recent.recent_history(spark, pushes, languages, max_age, since)
     as_of = as_of or spark.range(1).select(F.current_timestamp()).first()[0]
-    sections = all_sections(
-        unique,
-        recent,
-        as_of,
-        languages,
-        language_totals=snapshots.read_latest(spark, f"{totals}/languages"),
-        word_counts=snapshots.read_latest(spark, f"{totals}/words"),
-        entity_counts=snapshots.read_latest(spark, f"{totals}/entities"),
-    )
-    snapshots.publish_snapshot(snapshot_payload(sections), snapshot, version)
+    with temporary(spark):
+        sections = all_sections(
+            unique.drop("batch_id"),
+            history,
+            as_of,
+            languages,
+            language_totals=language_totals(spark, f"{totals}/languages"),
+            word_counts=snapshots.read_totals(spark, f"{totals}/words", *WORD_TOTALS),
+            entity_counts=snapshots.read_totals(spark, f"{totals}/entities", *ENTITY_TOTALS),
+        )
+        version = snapshots.next_version(spark, snapshot)
+        snapshots.publish_snapshot(snapshot_payload(sections), snapshot, version)
 
 
 def console(df, checkpoint, interval=None):

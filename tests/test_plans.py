@@ -4,20 +4,20 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from repotide.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
 def plan(spark, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 BATCH = [
     n
-    for n in queries()
-    if not n.startswith(("stream_", "snapshot_", "lda", "topic_", "sink_"))
+    for n in QUERIES
+    if not n.startswith(("stream_", "snapshot_", "lda", "topic_", "sink_", "arrival"))
 ]
 
 
@@ -28,7 +28,7 @@ def test_no_cross_join_and_no_python(spark, name):
         assert operator not in text
 
 
-@pytest.mark.parametrize("name", ["top10_words", "vocab_topn", "entity_top5", "cosine_banded"])
+@pytest.mark.parametrize("name", ["top10_words", "vocab_topn", "entity_top5"])
 def test_top_k_is_cut_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit .*Partial", plan(spark, name))
 
@@ -52,7 +52,7 @@ def test_target_filter_reaches_the_scan(spark):
 
 
 def test_statistics_serve_both_vocabulary_and_document_counts(spark):
-    df = queries()["idf_weights"](spark, SF)
+    df = QUERIES["idf_weights"](spark, SF)
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
 

@@ -1,10 +1,12 @@
 import json
+import os
 
+import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
 from repotide import scratch
-from repotide.plans.report import snapshot_payload
+from repotide.plans.report import recent_section, snapshot_payload
 from repotide.sources import ndjson, search, snapshots
 
 GOOD = '{"id":1,"name":"a","language":"Python","description":"x ai","stargazers_count":5,"pushed_at":"2024-01-01T00:00:10Z"}'
@@ -60,18 +62,41 @@ def test_only_the_latest_snapshot_is_kept(spark, tmp_path):
         payload = spark.range(1).select(F.lit(json.dumps({"req1": [version]})).alias("payload"))
         snapshots.publish_snapshot(payload, path, version)
     assert rows(snapshots.latest_snapshot(spark, path)) == [("success", '{"req1": [2]}')]
-    assert snapshots.read_versions(spark, path).count() == 2
+    assert snapshots.published(spark, path) == [0, 1, 2]
     sections = dict(snapshots.snapshot_sections(snapshots.latest_snapshot(spark, path)).collect())
     assert sections["req1"] == "[2]"
     assert all(sections[f"req{n}"] == "[]" for n in (5, 6, 7, 8))
 
 
-def test_totals_fold_once_per_version(spark, tmp_path):
-    path = str(tmp_path / "totals")
+def test_an_unfinished_version_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    for version in (0, 2, 4, 6, 8):
+        snapshots.publish_snapshot(spark.range(1).select(F.lit(f"{version}").alias("payload")), path, version)
+    assert len(os.listdir(f"{path}/data")) == snapshots.KEPT
+    # A writer dies after its data and before its pointer.
+    spark.range(1).select(F.lit("half").alias("payload")).write.parquet(f"{path}/data/9")
+    assert rows(snapshots.latest_snapshot(spark, path), "payload") == [("8",)]
+    assert snapshots.next_version(spark, path) == 9
+    snapshots.publish_snapshot(spark.range(1).select(F.lit("9").alias("payload")), path, 9)
+    assert rows(snapshots.latest_snapshot(spark, path), "payload") == [("9",)]
+
+
+def test_recent_pushes_are_listed_in_time_order(spark):
+    times = ["2024-01-01 23:59:00", "2024-01-02 00:01:00", "2024-01-02 00:00:00"]
+    history = spark.createDataFrame([(at(t), "b" if k else "a", k) for k, t in enumerate(times)], "batch_time timestamp, language string, count long")
+    payload = json.loads(snapshot_payload({"req2": recent_section(history)}).first().payload)
+    assert [(r["count"], r["batch_label"]) for r in payload["req2"]] == [(0, "23:59:00"), (2, "00:00:00"), (1, "00:01:00")]
+
+
+@pytest.mark.parametrize("compact", [2, 100])
+def test_totals_add_up_each_batch_once(spark, tmp_path, monkeypatch, compact):
+    monkeypatch.setattr(snapshots, "COMPACT_EVERY", compact)
+    path, shape = str(tmp_path / "totals"), (["k"], ["n"], ["first"])
+    assert snapshots.read_totals(spark, path, *shape) is None
     delta = spark.createDataFrame([("a", 2, 5), ("b", 1, 3)], "k string, n long, first long")
-    for version in (0, 1, 1):
-        snapshots.add_to_totals(delta, path, version, ["k"], ["n"], ["first"])
-    assert rows(snapshots.read_latest(spark, path), "k", "n", "first") == [("a", 4, 5), ("b", 2, 3)]
+    for version in (0, 1, 1, 2, 3, 3, 4):
+        snapshots.add_to_totals(delta, path, version, *shape)
+    assert rows(snapshots.read_totals(spark, path, *shape), "k", "n", "first") == [("a", 10, 5), ("b", 5, 3)]
 
 
 def test_payload_is_one_object(spark):

@@ -64,35 +64,22 @@ def test_restart_with_duplicates_changes_nothing(spark, events, tmp_path):
     assert rows(lifetime.lifetime_counts(spark, path)) == before
 
 
-@pytest.mark.parametrize("parts", [1, 5])
-def test_replayed_recent_counts_equal_the_batch_form(spark, events, tmp_path, parts):
+@pytest.mark.parametrize("parts", [1, 3, 10])
+@pytest.mark.parametrize("backwards", [False, True])
+def test_recent_counts_equal_the_batch_form(spark, events, tmp_path, parts, backwards):
+    """In any number of micro-batches, and with the latest rows first."""
     source = write_parts(events, str(tmp_path), parts)
-    result = recent.replayed_recent_counts(stream_of(spark, events, source), DAY, HALF_DAY)
-    out = str(tmp_path / "out")
-    writer = result.writeStream.outputMode("append").format("parquet").option("path", out)
-    finish(start(writer, str(tmp_path / "checkpoint")))
+    if backwards:
+        for n, name in enumerate(sorted(os.listdir(source), reverse=True)):
+            os.utime(f"{source}/{name}", (1_700_000_000 + n, 1_700_000_000 + n))
+    path = str(tmp_path / "pushes")
+    stream = recent.replayed(stream_of(spark, events, source), DAY)
+    finish(recent.maintain_pushes(stream, path, str(tmp_path / "checkpoint")))
     batch = state.dedup_within_batch(state.assign_batch(events, DAY))
-    last = events.agg(F.max("pushed_at")).first()[0]
-    closed = counts.recent_push_counts(batch, HALF_DAY).where(F.col("batch_time") <= F.lit(last))
     columns = ("batch_time", "language", "count")
-    assert rows(spark.read.schema(result.schema).parquet(out), *columns) == rows(closed, *columns)
-
-
-def test_live_recent_history_is_zero_filled(spark, events, tmp_path):
-    source = write_parts(events, str(tmp_path), 2)
-    path = str(tmp_path / "history")
-    finish(
-        recent.maintain_recent_history(
-            stream_of(spark, events, source), path, str(tmp_path / "checkpoint"), ("click", "fork")
-        )
-    )
-    history = spark.read.parquet(path)
-    assert rows(history.select("batch_id", "language", "count")) == [
-        (0, "click", 0),
-        (0, "fork", 0),
-        (1, "click", 0),
-        (1, "fork", 0),
-    ]
+    assert rows(recent.recent_counts(spark, path, HALF_DAY), *columns) == rows(counts.recent_push_counts(batch, HALF_DAY), *columns)
+    filled = recent.recent_history(spark, path, ("click", "fork"), HALF_DAY)
+    assert rows(filled, *columns) == rows(counts.recent_push_history(batch, HALF_DAY, ("click", "fork")), *columns)
 
 
 def record(id, seq, **values):
@@ -112,9 +99,9 @@ def test_lines_to_snapshot(spark, tmp_path):
     words = "api data cloud server web".split()
 
     def run_once():
-        jobs = run(spark, ndjson.stream_lines(spark, path=str(inbox)), out, interval=None)
+        run(spark, ndjson.stream_lines(spark, path=str(inbox)), out, interval=None)
         payload = snapshots.latest_snapshot(spark, f"{out}/snapshot").first().payload
-        return landing.progress_rows(jobs[0]), json.loads(payload)
+        return landing.batch_metrics(landed()).collect(), json.loads(payload)
 
     landed = lambda: landing.landed(spark, f"{out}/landed")
 
@@ -124,7 +111,7 @@ def test_lines_to_snapshot(spark, tmp_path):
         *[record(n, n, description=f"{words[n % 5]} {words[n % 3]}", stargazers_count=1) for n in range(10, 20)],
     )
     metrics, first = run_once()
-    assert [m[1:] for m in metrics] == [(13, 1)]
+    assert [tuple(m) for m in metrics] == [(0, 13, 1, 0)]
     assert rows(landing.quarantine(landed()), "line") == [("not json",)]
     assert first["req1"] == [{"language": "Python", "count": 11}]
     assert first["req3"] == [{"language": "Python", "avg_stargazers_count": 1.36}]
@@ -148,9 +135,56 @@ def test_lines_to_snapshot(spark, tmp_path):
     assert landing.batch_history(landed()).count() == 13
 
 
-def test_lines_without_sequence_numbers(spark, tmp_path):
+LINE = '{"id":%d,"name":"a","language":"Python","description":null,"stargazers_count":%d,"pushed_at":"2024-01-01T00:00:%02dZ"}'
+
+
+def test_lines_without_sequence_numbers_count_as_they_arrive(spark, tmp_path):
     inbox, table = tmp_path / "inbox", str(tmp_path / "landed")
-    line = '{"id":1,"name":"a","language":"Python","description":null,"stargazers_count":%d,"pushed_at":"2024-01-01T00:00:%02dZ"}'
-    write_lines(inbox, "a.json", line % (9, 30), line % (5, 10), line % (7, 20))
-    finish(landing.land(ndjson.stream_lines(spark, path=str(inbox)), table, str(tmp_path / "c")))
-    assert rows(landing.batch_history(landing.landed(spark, table)), "id", "stargazers_count") == [(1, 5)]
+    land = lambda: finish(landing.land(ndjson.stream_lines(spark, path=str(inbox)), table, str(tmp_path / "c")))
+    write_lines(inbox, "b.json", LINE % (1, 9, 30), LINE % (1, 5, 10), LINE % (1, 7, 20), LINE % (2, 1, 30), LINE % (2, 2, 30))
+    land()
+    write_lines(inbox, "a.json", LINE % (1, 3, 0), LINE % (3, 8, 0))
+    land()
+    landed = landing.landed(spark, table)
+    assert rows(landing.batch_history(landed).where("seq < 100"), "id", "stargazers_count") == [(1, 9), (2, 1)]
+    first = state.dedup_first_seen(landed.drop("line", "bad", "batch", "batch_time"))
+    assert rows(first, "id", "stargazers_count") == [(1, 9), (2, 1), (3, 8)]
+    assert landed.select("seq").distinct().count() == 7
+
+
+def test_metrics_reach_back_to_the_first_batch(spark, tmp_path):
+    inbox, table = tmp_path / "inbox", str(tmp_path / "landed")
+    for n in range(8):
+        write_lines(inbox, f"{n}.json", *[record(k, 10 * n + k) for k in range(n + 1)], "bad")
+        os.utime(inbox / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        lines = ndjson.stream_lines(spark, path=str(inbox), maxFilesPerTrigger=1)
+        finish(landing.land(lines, table, str(tmp_path / "c")))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    metrics = sorted(landing.batch_metrics(landing.landed(spark, table)).collect())
+    assert [(m.batch, m.input_rows, m.bad_rows) for m in metrics] == [(n, n + 2, 1) for n in range(8)]
+    assert metrics[0].uptime_seconds == 0 and metrics[-1].uptime_seconds >= 0
+
+
+def test_last_state_is_published_whatever_the_interval(spark, tmp_path):
+    inbox, out = tmp_path / "inbox", str(tmp_path / "out")
+    for n in range(3):
+        write_lines(inbox, f"{n}.json", record(n, n))
+        run(spark, ndjson.stream_lines(spark, path=str(inbox)), out, interval=None, refresh_every=50)
+        payload = json.loads(snapshots.latest_snapshot(spark, f"{out}/snapshot").first().payload)
+        assert payload["req1"] == [{"language": "Python", "count": n + 1}]
+
+
+def test_refreshes_leave_no_scratch_tables(spark, tmp_path):
+    inbox, out = tmp_path / "inbox", str(tmp_path / "out")
+    from repotide.scratch import scratch_path
+
+    folder = os.path.dirname(scratch_path(spark, "x"))
+    sizes = []
+    for n in range(3):
+        write_lines(inbox, f"{n}.json", record(n, n, description="docker api"))
+        run(spark, ndjson.stream_lines(spark, path=str(inbox)), out, interval=None)
+        sizes.append(len(os.listdir(folder)) if os.path.isdir(folder) else 0)
+    assert sizes[0] == sizes[-1]
