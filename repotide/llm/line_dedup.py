@@ -69,12 +69,17 @@ def _lines_of(code):
 
 def occurrences(docs):
     """Each chunk that counts: document, its order among all, its code, digest and bytes."""
+
+    def chunk(code):
+        lines = _lines_of(code)
+        return F.struct(code.alias("_code"), F.array_join(lines, "\n").alias("_chunk"))
+
+    # The chunks are cut out inside the row: after the explode no row holds the whole text.
     rows = with_chunks(docs.select("doc_id", "text")).select(
-        "doc_id", F.xxhash64("text").alias("_text"), "_lines", F.explode("_codes").alias("_code")
+        "doc_id", F.xxhash64("text").alias("_text"), F.inline(F.transform("_codes", chunk))
     )
-    lines = _lines_of(F.col("_code"))
-    rows = rows.select("doc_id", "_text", "_code", F.size(lines).alias("_n"), F.array_join(lines, "\n").alias("_chunk"))
-    rows = rows.where((F.col("_n") > 1) | _is_long("_chunk"))
+    several = F.col("_code").bitwiseAND(F.lit(_STOP - 1)) - _start(F.col("_code")) > 1
+    rows = rows.where(several | _is_long("_chunk"))
     place = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(_NO_ID).cast("decimal(38,0)"))
     order = place * F.lit(1 << 62).cast("decimal(19,0)") + F.col("_code")
     return rows.select("doc_id", "_text", "_code", order.cast("decimal(38,0)").alias("_order"), F.md5("_chunk").alias("_digest"), "_chunk")

@@ -290,6 +290,16 @@ WITH c AS (
 )
 SELECT id, language, CAST(len(w) AS INTEGER) AS n_words, array_to_string(w, ' ') AS words FROM c""",
     "word_counts": f"WITH {WORDS} SELECT language, word, count FROM wc",
+    "top_words_nested": f"""WITH {WORDS}
+SELECT language, CAST(to_json(list({{'word': word, 'count': count}} ORDER BY rank)) AS VARCHAR) AS top_ten_words
+FROM top GROUP BY language""",
+    "zero_fill_when_present": "SELECT lang AS language, count(*) AS count FROM documents GROUP BY lang",
+    "snapshot_rows": f"""WITH {HISTORY}, {AVERAGES}, {WORDS}
+SELECT 'req1' AS section, lang AS language, NULL AS item, CAST(count(*) AS VARCHAR) AS value FROM documents GROUP BY lang
+UNION ALL SELECT 'req2', language, strftime(batch_time, '%H:%M:%S'), CAST(count AS VARCHAR) FROM hist
+UNION ALL SELECT 'req3', language, NULL, CAST(CAST(avg_stargazers_count AS DECIMAL(20,2)) AS VARCHAR) FROM av
+UNION ALL SELECT 'req4', language, NULL, CAST(to_json(list({{'word': word, 'count': count}} ORDER BY rank)) AS VARCHAR)
+FROM top GROUP BY language""",
     "top10_words": f"WITH {WORDS} SELECT language, word, count, rank FROM top",
     "text_eligible": (
         "SELECT doc_id AS id, lang AS language FROM documents WHERE text <> '' AND lang IN ('en', 'fr')"

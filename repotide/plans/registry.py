@@ -196,6 +196,31 @@ def snapshot_read_latest(spark, sf):
     return snapshots.snapshot_sections(snapshots.latest_snapshot(spark, path))
 
 
+@query
+def snapshot_rows(spark, sf):
+    """The counts, pushes, averages and words of a published snapshot as flat rows of text."""
+    path = scratch_path(spark, "snapshot")
+    for version in range(2):
+        snapshots.publish_snapshot(_small_payload(spark, sf), path, version)
+    sections = snapshots.snapshot_sections(snapshots.latest_snapshot(spark, path))
+
+    def rows(section, shape, item, value):
+        listed = sections.where(F.col("section") == section)
+        flat = listed.select("section", F.inline(F.from_json("content", f"array<struct<{shape}>>")))
+        return flat.select("section", "language", item.alias("item"), value.cast("string").alias("value"))
+
+    none = F.lit(None).cast("string")
+    words_shape = "language string, top_ten_words array<struct<word string, count long>>"
+    nested = rows("req4", words_shape, none, F.to_json("top_ten_words"))
+    parts = [
+        rows("req1", "language string, count long", none, F.col("count")),
+        rows("req2", "batch_label string, language string, count long", F.col("batch_label"), F.col("count")),
+        rows("req3", "language string, avg_stargazers_count decimal(20,2)", none, F.col("avg_stargazers_count")),
+        nested,
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 # State, dedup and batching
 
 
@@ -322,6 +347,13 @@ def zero_fill_when_empty(spark, sf):
     return counts.zero_fill_when_empty(counts.total_count_by_language(targets), "count")
 
 
+@query
+def zero_fill_when_present(spark, sf):
+    """With any row at all nothing is filled, not even for a target that has none."""
+    found = counts.total_count_by_language(tables.documents(spark, sf))
+    return counts.zero_fill_when_empty(found, "count", (*TEXT_LANGUAGES, "none"))
+
+
 @query
 def recent_push_counts(spark, sf):
     pushes = counts.recent_push_counts(_batch_unique(spark, sf), HALF_DAY)
@@ -361,7 +393,9 @@ def top10_words(spark, sf):
 
 @query
 def top_words_nested(spark, sf):
-    return words.top_words_nested(words.top_words(tables.documents(spark, sf)))
+    """The lists as JSON text, which compares in any engine."""
+    nested = words.top_words_nested(words.top_words(tables.documents(spark, sf)))
+    return nested.withColumn("top_ten_words", F.to_json("top_ten_words"))
 
 
 # Terms, vocabulary, weights
