@@ -25,7 +25,7 @@ from repotide.llm.common import map_rows, words_of
 WINDOW = 13
 SHARD_WORDS = 400_000
 SAMPLE = 8
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 2 << 20
 SPANS_DDL = "doc_id long, n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
 
 

@@ -81,7 +81,7 @@ def scanner(notices=NOTICES):
         automaton.add_word(piece, (len(piece), where))
     automaton.make_automaton()
     patterns = [
-        regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={edits_of(notice)}}}") for notice, _ in notices
+        regex.compile(f"(?e)(?:{regex.escape(notice)}){{e<={edits_of(notice)}}}") for notice, _ in notices
     ]
 
     def scan(text):

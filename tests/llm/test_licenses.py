@@ -58,3 +58,9 @@ def test_notices_with_errors_are_found():
 def test_unlike_texts_have_no_labels(spark, documents):
     assert {r["labels"] for r in L.license_labels(documents(["under the sun " * 200, "license version of the mit " * 50])).collect()} == {""}
     assert L.license_labels(documents(["a"]).limit(0)).count() == 0
+
+
+def test_long_texts_of_near_notices_take_linear_time():
+    scan = L.scanner()
+    assert len(scan("all rights reserve " * 20_000)) == 20_000
+    assert scan("released under the " * 20_000) == []
