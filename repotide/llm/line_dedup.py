@@ -24,6 +24,7 @@ LONG_WORDS = 50
 FACTOR = 31
 _STOP = 1 << 31
 _HASHES = 1 << 32
+DIGEST = ("_digest", "_digest2")
 _NO_ID = "-9223372036854775809"
 
 
@@ -32,6 +33,11 @@ def _number(line):
 
 
 def _is_long(line):
+    # So many words need that many bytes; most lines are told by their size alone.
+    return (F.octet_length(line) >= 2 * LONG_WORDS - 1) & _has_words(line)
+
+
+def _has_words(line):
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1 >= LONG_WORDS
 
 
@@ -41,58 +47,66 @@ def with_chunks(docs):
     rows = rows.withColumn("_hashes", F.transform("_lines", _number))
     rows = rows.withColumn("_long", F.transform("_lines", _is_long))
     n = F.size("_lines")
-    zero, no = F.array(F.lit(0).cast("long")), F.array(F.lit(False))
+    zero = F.array(F.lit(0).cast("long"))
     before = F.concat(zero, F.slice("_hashes", 1, F.greatest(n - 1, F.lit(0))))
-    after_long = F.concat(F.slice("_long", 2, n), no)
     rows = rows.withColumn("_rolled", F.zip_with("_hashes", before, lambda h, b: (h + FACTOR * b) % _HASHES))
-    most = F.array(F.lit(_HASHES))
-    left = F.concat(most, F.slice("_rolled", 1, F.greatest(n - 1, F.lit(0))))
-    right = F.concat(F.slice("_rolled", 2, n), most)
-    peak = F.zip_with(F.zip_with("_rolled", left, lambda r, x: r > x), F.zip_with("_rolled", right, lambda r, x: r >= x), lambda a, b: a & b)
-    beside_long = F.zip_with("_long", after_long, lambda a, b: a | b)
-    cut = F.zip_with(F.transform(peak, lambda p, i: p & (i < n - 2)), beside_long, lambda p, x: p | x)
-    ends = F.transform(cut, lambda c, i: F.when(c | (i == n - 1), i.cast("long") + 1))
+
+    def end(rolled, i):
+        peak = (i > 0) & (i < n - 2) & (rolled > F.get("_rolled", i - 1)) & (rolled >= F.get("_rolled", i + 1))
+        return F.when((i == n - 1) | peak | F.get("_long", i) | F.get("_long", i + 1), i.cast("long") + 1)
+
+    ends = F.transform("_rolled", end)
     rows = rows.withColumn("_ends", F.filter(ends, lambda e: e.isNotNull()))
     starts = F.concat(zero, F.slice("_ends", 1, F.greatest(F.size("_ends") - 1, F.lit(0))))
     codes = F.zip_with(starts, "_ends", lambda a, b: a * _STOP + b)
-    return rows.withColumn("_codes", codes).drop("_hashes", "_long", "_rolled", "_ends")
+    return rows.withColumn("_codes", codes).drop("_hashes", "_rolled", "_ends")
 
 
 def _start(code):
     return F.shiftright(code, 31)
 
 
-def _lines_of(code):
+def _lines_of(code, of="_lines"):
     start = _start(code)
-    return F.slice("_lines", start.cast("int") + 1, (code.bitwiseAND(F.lit(_STOP - 1)) - start).cast("int"))
+    return F.slice(of, start.cast("int") + 1, (code.bitwiseAND(F.lit(_STOP - 1)) - start).cast("int"))
 
 
 def occurrences(docs):
-    """Each chunk that counts: document, its order among all, its code, digest and bytes."""
+    """Each chunk that counts: document, its order among all, its code, digest and bytes.
+
+    The digest is made of the hashes of its lines, so that a reader who does not want the bytes
+    does not build them.
+    """
 
     def chunk(code):
-        lines = _lines_of(code)
-        return F.struct(code.alias("_code"), F.array_join(lines, "\n").alias("_chunk"))
+        marks = _lines_of(code, "_marks")
+        counts = (F.size(marks) > 1) | F.get("_long", _start(code).cast("int"))
+        return F.when(
+            counts,
+            F.struct(
+                code.alias("_code"),
+                F.xxhash64(marks).alias("_digest"),
+                F.xxhash64(F.lit(7), marks).alias("_digest2"),
+                F.array_join(_lines_of(code), "\n").alias("_chunk"),
+            ),
+        )
 
     # The chunks are cut out inside the row: after the explode no row holds the whole text.
-    rows = with_chunks(docs.select("doc_id", "text")).select(
-        "doc_id", F.xxhash64("text").alias("_text"), F.inline(F.transform("_codes", chunk))
-    )
-    several = F.col("_code").bitwiseAND(F.lit(_STOP - 1)) - _start(F.col("_code")) > 1
-    rows = rows.where(several | _is_long("_chunk"))
+    rows = with_chunks(docs.select("doc_id", "text")).withColumn("_marks", F.transform("_lines", lambda x: F.xxhash64(x)))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("_text"), F.inline(F.array_compact(F.transform("_codes", chunk))))
     place = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(_NO_ID).cast("decimal(38,0)"))
     order = place * F.lit(1 << 62).cast("decimal(19,0)") + F.col("_code")
-    return rows.select("doc_id", "_text", "_code", order.cast("decimal(38,0)").alias("_order"), F.md5("_chunk").alias("_digest"), "_chunk")
+    return rows.select("doc_id", "_text", "_code", order.cast("decimal(38,0)").alias("_order"), *DIGEST, "_chunk")
 
 
 def repeated_chunks(found):
     """Digest and first occurrence of chunks that occur again, compared byte by byte."""
-    groups = found.groupBy("_digest", "_chunk").agg(F.count("*").alias("_n"), F.min("_order").alias("_first"))
+    groups = found.groupBy(*DIGEST, "_chunk").agg(F.count("*").alias("_n"), F.min("_order").alias("_first"))
     return (
-        groups.groupBy("_digest")
+        groups.groupBy(*DIGEST)
         .agg(F.count("*").alias("_strings"), F.max("_n").alias("_n"), F.min("_first").alias("_first"))
         .where("_strings = 1 and _n > 1")
-        .select("_digest", "_first")
+        .select(*DIGEST, "_first")
     )
 
 
@@ -102,17 +116,17 @@ def deduplicated(docs):
     again = repeated_chunks(found)
     places = (
         found.drop("_chunk")
-        .join(again, "_digest")
+        .join(again, list(DIGEST))
         .where("_order > _first")
         .groupBy(F.col("doc_id").alias("_doc"), F.col("_text").alias("_same"))
         .agg(F.collect_set("_code").alias("_gone"))
     )
     rows = docs.withColumn("_text", F.xxhash64("text"))
     rows = rows.join(places, rows["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_same")), "left")
-    rows = with_chunks(rows.drop("_doc", "_same", "_text"))
+    rows = with_chunks(rows.drop("_doc", "_same", "_text")).drop("_long")
     gone = F.coalesce("_gone", F.array().cast("array<bigint>"))
     kept = F.array_except("_codes", gone)
-    lines = F.flatten(F.transform(kept, _lines_of))
+    lines = F.flatten(F.transform(kept, lambda code: _lines_of(code)))
     size = lambda x: F.coalesce(F.when(x.isNotNull(), F.size(x)), F.lit(0)).cast("long")
     return rows.select(
         *(c for c in docs.columns if c != "text"),
