@@ -35,8 +35,10 @@ SIMILARITY = 0.8
 RECALL = 0.999
 #: Levels of recursion; sets that share a path of so many tokens are compared in blocks.
 LEVELS = 3
-#: Sets that are compared at once, and shingles in a block of the exact comparison.
-BUCKET, BLOCK_SHINGLES = 512, 400_000
+#: A path that more sets share is split again; the last level is compared in blocks of this many.
+BUCKET, BLOCK_SKETCHES = 512, 4096
+#: Shingles in a block of the exact comparison, besides at most BUCKET sets.
+BLOCK_SHINGLES = 400_000
 #: Bins of a sketch, one byte each.
 BINS = 256
 #: Standard deviations that a sketch may fall short of the threshold.
@@ -136,7 +138,10 @@ def groups_of(batches, names):
 
 
 def _edges(similarity):
-    """mapInArrow over sorted (node, key, size, sketch): edges of a forest of likely pairs."""
+    """mapInArrow over sorted (group, key, block, size, sketch): edges of a forest of likely pairs.
+
+    A group of two blocks only reports what joins components of one block to those of the other.
+    """
 
     def run(batches):
         out_u, out_v = [], []
@@ -144,15 +149,23 @@ def _edges(similarity):
             rows = list({r[0]: r for r in rows}.values())
             if len(rows) < 2:
                 continue
-            sizes = np.array([r[1] for r in rows])
-            sketches = np.frombuffer(b"".join(bytes(r[2]) for r in rows), np.uint8).reshape(-1, BINS)
-            near = lambda row, others: likely(
-                sketches[others], sketches[row][None], sizes[others], sizes[row], similarity  # noqa: B023
-            )
-            for k, r in enumerate(forest(len(rows), near).tolist()):
-                if k != r:
-                    out_u.append(rows[k][0])
-                    out_v.append(rows[r][0])
+            blocks = np.array([r[1] for r in rows])
+            sizes = np.array([r[2] for r in rows])
+            sketches = np.frombuffer(b"".join(bytes(r[3]) for r in rows), np.uint8).reshape(-1, BINS)
+
+            def roots(at):
+                own, own_sizes = sketches[at], sizes[at]  # noqa: B023
+                near = lambda row, others: likely(own[others], own[row][None], own_sizes[others], own_sizes[row], similarity)
+                return at[forest(len(at), near)]
+
+            ends = np.arange(len(rows))
+            if blocks.min() != blocks.max():
+                inside = [np.flatnonzero(blocks == b) for b in (blocks.min(), blocks.max())]
+                ends = np.unique(np.concatenate([roots(at) for at in inside]))
+            whole = roots(np.arange(len(rows)))
+            for k in ends[whole[ends] != ends].tolist():
+                out_u.append(rows[k][0])
+                out_v.append(rows[whole[k]][0])
             if len(out_u) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(out_u), pa.array(out_v)], ["u", "v"])
                 out_u, out_v = [], []
@@ -208,10 +221,10 @@ def candidate_edges(docs, sets, similarity, levels):
         last = level == levels or crowded.isEmpty()
         bucket = nodes if last else nodes.where(F.col("n") <= BUCKET)
         full = bucket.join(sets.select("key", "size", "sketch"), "key")
-        _, pair = blocks_of(F.ceil(F.col("n") / BUCKET), level)
-        full = full.select("node", "key", "size", "sketch", pair.alias("pair"))
+        block, pair = blocks_of(F.ceil(F.col("n") / BLOCK_SKETCHES), level)
+        full = full.select("node", "key", block.alias("block"), "size", "sketch", pair.alias("pair"))
         group = F.xxhash64("node", "pair.i", "pair.j").alias("group")
-        rows = full.select(group, "key", "size", "sketch").repartition("group").sortWithinPartitions("group")
+        rows = full.select(group, "key", "block", "size", "sketch").repartition("group").sortWithinPartitions("group")
         found = write_table(rows.mapInArrow(_edges(similarity), "u string, v string").distinct(), "candidates")
         edges = found if edges is None else edges.unionAll(found)
         if last:

@@ -72,12 +72,14 @@ def test_runs_reach_the_recall():
 @pytest.mark.parametrize("bucket", [3, 512])
 def test_against_brute_force(spark, documents, clashing, odd, monkeypatch, bucket):
     monkeypatch.setattr(J, "BUCKET", bucket)
+    monkeypatch.setattr(J, "BLOCK_SKETCHES", 2 * bucket)
     texts = corpus(bucket) + odd
     assert result(J.similar_classes(clashing(documents(texts)))) == brute(texts)
 
 
 def test_large_group_of_near_copies(spark, documents, monkeypatch):
     monkeypatch.setattr(J, "BUCKET", 20)
+    monkeypatch.setattr(J, "BLOCK_SKETCHES", 15)
     texts = corpus(7, groups=2, size=70, words=200)
     assert result(J.similar_classes(documents(texts))) == brute(texts)
 
