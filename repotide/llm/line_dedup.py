@@ -15,6 +15,7 @@ that grouping and whole to the join with the places to remove.
 A null text stays null and has no lines; an empty text has one empty line. Rows that share a
 doc_id are told apart by their text; equal rows get equal results. A null doc_id counts as
 smaller than any other. Extra columns are carried along by `deduplicated`.
+Digests have 128 bits; should two different chunks share one, both are kept.
 """
 
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ FACTOR = 31
 _STOP = 1 << 31
 _HASHES = 1 << 32
 DIGEST = ("_digest", "_digest2")
+COUNTS = ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")
 _NO_ID = "-9223372036854775809"
 
 
@@ -111,7 +113,11 @@ def repeated_chunks(found):
 
 
 def deduplicated(docs):
-    """`docs` with repeated chunks removed from `text`, and counts of what was removed."""
+    """`docs` with repeated chunks removed from `text`, and counts of what was removed.
+
+    Columns of `docs` that are named like a count or begin with an underscore are left out.
+    """
+    docs = docs.select(*(c for c in docs.columns if c[:1] != "_" and c not in COUNTS))
     found = occurrences(docs)
     again = repeated_chunks(found)
     places = (

@@ -81,6 +81,13 @@ def test_ids_that_are_null_or_shared(spark):
     assert removed[(None, 30)] == 0 and removed[(3, 30)] > 20 and removed[(-5, 30)] > 20
 
 
+def test_columns_named_like_its_own(spark, documents):
+    from pyspark.sql import functions as F
+
+    docs = documents(["a\nb", "a\nb"]).withColumns({c: F.lit("z") for c in ("n_lines", "_lines", "_codes", "_gone", "_text")})
+    assert result(D.deduplicated(docs)) == brute(["a\nb", "a\nb"])
+
+
 def test_empty_table_and_plan(spark, documents):
     df = D.deduplicated(documents(["a"]).limit(0))
     assert df.count() == 0
