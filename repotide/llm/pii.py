@@ -12,16 +12,21 @@ not change the result. Null and empty texts have no spans. Without a labelled sp
 sample nothing is trained and only base spans are reported. Every row gives one row.
 """
 
+import bisect
 import hashlib
 import random
 import re
+from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from repotide.llm.bilstm_crf import Tagger
-from repotide.llm.common import map_rows
+from repotide.llm.common import SLICE, map_rows
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose windows train the tagger, and windows of each sort that are used.
@@ -219,7 +224,7 @@ def tagged_spans(texts, tagger):
     decoded = []
     for at in range(0, len(cuts), 2048):
         whole = numbers_of("".join(cuts[at : at + 2048])).reshape(-1, WINDOW)
-        decoded.append(tagger.decode(whole))
+        decoded.append(tagger.decode(whole).astype(np.int8))
     decoded, out, used = np.concatenate(decoded), [], 0
     for text, own in zip(texts, starts, strict=True):
         found = []
@@ -238,7 +243,13 @@ def tagged_spans(texts, tagger):
 
 def all_spans(base, tagged):
     """Base spans and the tagged ones that touch none of them, by kind and place."""
-    free = [s for s in tagged if not any(s[1] < b and a < s[2] for _, a, b in base)]
+    order = sorted((a, b) for _, a, b in base)
+    starts, ends = [a for a, _ in order], list(accumulate((b for _, b in order), max))
+    free = []
+    for s in tagged:
+        before = bisect.bisect_left(starts, s[2])  # base spans that start before it ends
+        if not before or ends[before - 1] <= s[1]:
+            free.append(s)
     return sorted({*base, *free}, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
@@ -252,17 +263,24 @@ def detected(docs, tagger=None, epochs=EPOCHS):
     tagger = train(docs, epochs) if tagger is None else tagger
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
 
-    def make():
-        def each(doc_id, text):
-            text = text or ""
-            base = base_spans(text)
-            spans = base
-            if shared.value is not None and SIGNAL.search(text):
-                spans = all_spans(base, tagged_spans([text], shared.value)[0])
-            counts = [sum(s[0] == k for s in base) for k in KINDS]
-            digest = hashlib.sha256(joined(base).encode()).hexdigest()
-            yield doc_id, *counts, digest, joined(spans), len(spans) - len(base)
-
-        return each
-
-    return map_rows(docs, make, DDL)
+    arrow = to_arrow_schema(StructType.fromDDL(DDL))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                base = [base_spans(t) for t in texts]
+                # The windows of a slice of texts are decoded together.
+                tagged = tagged_spans(texts, shared.value) if shared.value is not None else [[]] * len(texts)
+                spans = [all_spans(b, t) for b, t in zip(base, tagged, strict=True)]
+                made = [
+                    *([sum(s[0] == k for s in b) for b in base] for k in KINDS),
+                    [hashlib.sha256(joined(b).encode()).hexdigest() for b in base],
+                    [joined(x) for x in spans],
+                    [len(x) - len(b) for x, b in zip(spans, base, strict=True)],
+                ]
+                columns = [pa.array(c, f.type) for c, f in zip(made, list(arrow)[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema=arrow)
+
+    return docs.mapInArrow(run, DDL)

@@ -74,6 +74,15 @@ def test_all_spans_keep_the_base():
     ]
 
 
+def test_free_spans_equal_the_plain_rule():
+    rng = random.Random(1)
+    span = lambda: (rng.choice(P.KINDS), a := rng.randint(0, 60), a + rng.randint(1, 9))
+    for _ in range(300):
+        base, tagged = [span() for _ in range(rng.randint(0, 6))], [span() for _ in range(rng.randint(0, 6))]
+        free = [s for s in tagged if not any(s[1] < b and a < s[2] for _, a, b in base)]
+        assert set(P.all_spans(base, tagged)) == {*base, *free}
+
+
 def test_documents(spark, documents, clashing, odd, tagger):
     texts = people(40) + odd
     rows = {r["doc_id"]: r for r in P.detected(clashing(documents(texts)), tagger).collect()}
