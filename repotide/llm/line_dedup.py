@@ -12,6 +12,13 @@ task first, so a chunk in a third of all documents moves one row a task. Only ch
 digest stands for one string of bytes are removed. Texts are shuffled twice: as chunks to
 that grouping and whole to the join with the places to remove.
 
+Chunks miss a repeated passage whose boundaries fall outside it. `deduplicated(docs, runs=True)`
+removes each repeated run of lines with LONG_WORDS words or more besides: windows (the shortest
+run of that many words from each line on, and up to each line) are grouped by two hashes and the
+SHA-256 of their bytes, and the lines of a later occurrence go, without those that the first
+occurrence has itself. A window has LONG_WORDS lines at most, as a line counts as a word or more.
+Without `runs` the result is the one that ORACLE defines.
+
 A null text stays null and has no lines; an empty text has one empty line. Rows that share a
 doc_id are told apart by their text; equal rows get equal results. A null doc_id counts as
 smaller than any other. Extra columns are carried along by `deduplicated`.
@@ -40,7 +47,11 @@ def _is_long(line):
 
 
 def _has_words(line):
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1 >= LONG_WORDS
+    return _n_words(line) >= LONG_WORDS
+
+
+def _n_words(line):
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
 def with_chunks(docs):
@@ -73,6 +84,12 @@ def _lines_of(code, of="_lines"):
     return F.slice(of, start.cast("int") + 1, (code.bitwiseAND(F.lit(_STOP - 1)) - start).cast("int"))
 
 
+def _order():
+    """The place of a chunk or window among all: by doc_id, then by code."""
+    place = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(_NO_ID).cast("decimal(38,0)"))
+    return (place * F.lit(1 << 62).cast("decimal(19,0)") + F.col("_code")).cast("decimal(38,0)").alias("_order")
+
+
 def occurrences(docs):
     """Each chunk that counts: document, its order among all, its code, digest and bytes.
 
@@ -96,9 +113,61 @@ def occurrences(docs):
     # The chunks are cut out inside the row: after the explode no row holds the whole text.
     rows = with_chunks(docs.select("doc_id", "text")).withColumn("_marks", F.transform("_lines", lambda x: F.xxhash64(x)))
     rows = rows.select("doc_id", F.xxhash64("text").alias("_text"), F.inline(F.array_compact(F.transform("_codes", chunk))))
-    place = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(_NO_ID).cast("decimal(38,0)"))
-    order = place * F.lit(1 << 62).cast("decimal(19,0)") + F.col("_code")
-    return rows.select("doc_id", "_text", "_code", order.cast("decimal(38,0)").alias("_order"), *DIGEST, "_chunk")
+    return rows.select("doc_id", "_text", "_code", _order(), *DIGEST, "_chunk")
+
+
+def windows(docs):
+    """Each window of several lines (or one that is no chunk of its own), like `occurrences`.
+
+    The order holds the text's hash too, so that texts that share a doc_id have an order.
+    """
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).withColumn("_lines", F.split("text", "\n", -1))
+    rows = rows.withColumn("_sizes", F.transform("_lines", _n_words))
+    rows = rows.withColumn("_long", F.transform("_lines", _is_long))
+    n = F.size("_sizes")
+
+    def steps(sizes):
+        """How many of `sizes` it takes to reach LONG_WORDS; null if they do not."""
+        start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
+        more = lambda s, x: F.when(s["sum"] < LONG_WORDS, F.struct((s["sum"] + x).alias("sum"), (s["n"] + 1).alias("n"))).otherwise(s)
+        return F.aggregate(sizes, start, more, lambda s: F.when(s["sum"] >= LONG_WORDS, s["n"]))
+
+    def forward(_, i):
+        taken = steps(F.slice("_sizes", i + 1, LONG_WORDS))
+        return F.when(~F.get("_long", i), i.cast("long") * _STOP + i + taken)
+
+    def backward(_, i):
+        first = F.greatest(i + 1 - LONG_WORDS, F.lit(0))
+        taken = steps(F.reverse(F.slice("_sizes", first + 1, i + 1 - first)))
+        return F.when(~F.get("_long", i), (i + 1 - taken).cast("long") * _STOP + i + 1)
+
+    codes = F.array_distinct(F.array_compact(F.concat(F.transform("_sizes", forward), F.transform("_sizes", backward))))
+
+    def window(code):
+        marks = _lines_of(code, "_marks")
+        return F.struct(
+            code.alias("_code"),
+            F.xxhash64(marks).alias("_digest"),
+            F.xxhash64(F.lit(7), marks).alias("_digest2"),
+            F.unhex(F.sha2(F.array_join(_lines_of(code), "\n"), 256)).alias("_chunk"),
+        )
+
+    rows = rows.where(n > 0).withColumn("_marks", F.transform("_lines", lambda x: F.xxhash64(x))).withColumn("_windows", codes)
+    rows = rows.select("doc_id", F.xxhash64("text").alias("_text"), F.inline(F.transform("_windows", window)))
+    return rows.select("doc_id", "_text", "_code", F.struct(_order(), "_text").alias("_order"), *DIGEST, "_chunk")
+
+
+def covered_lines(docs):
+    """doc_id, _text and the code of lines that repeat an earlier run of LONG_WORDS words."""
+    found = windows(docs)
+    rows = found.drop("_chunk").join(repeated_chunks(found), list(DIGEST)).where("_order > _first")
+    first, base = F.col("_first._order"), F.col("_order._order") - F.col("_code")
+    # Where both occurrences are in one text and overlap, the lines of the first one stay.
+    same = (first >= base) & (F.col("_first._text") == F.col("_text"))
+    kept = F.when(same, (first - base).cast("long").bitwiseAND(F.lit(_STOP - 1)))
+    stop = F.col("_code").bitwiseAND(F.lit(_STOP - 1))
+    start = F.greatest(_start(F.col("_code")), F.coalesce(kept, F.lit(0)))
+    return rows.where(start < stop).select("doc_id", "_text", (start * _STOP + stop).alias("_cover"))
 
 
 def repeated_chunks(found):
@@ -112,9 +181,11 @@ def repeated_chunks(found):
     )
 
 
-def deduplicated(docs):
+def deduplicated(docs, runs=False):
     """`docs` with repeated chunks removed from `text`, and counts of what was removed.
 
+    With `runs`, all repeated runs of LONG_WORDS words go; n_removed_chunks still counts chunks.
+
     Columns of `docs` that are named like a count or begin with an underscore are left out.
     """
     docs = docs.select(*(c for c in docs.columns if c[:1] != "_" and c not in COUNTS))
@@ -124,8 +195,12 @@ def deduplicated(docs):
         found.drop("_chunk")
         .join(again, list(DIGEST))
         .where("_order > _first")
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("_text").alias("_same"))
-        .agg(F.collect_set("_code").alias("_gone"))
+        .select("doc_id", "_text", "_code", F.lit(None).cast("long").alias("_cover"))
+    )
+    if runs:
+        places = places.unionByName(covered_lines(docs).withColumn("_code", F.lit(None).cast("long")))
+    places = places.groupBy(F.col("doc_id").alias("_doc"), F.col("_text").alias("_same")).agg(
+        F.collect_set("_code").alias("_gone"), *([F.collect_set("_cover").alias("_covers")] if runs else [])
     )
     rows = docs.withColumn("_text", F.xxhash64("text"))
     rows = rows.join(places, rows["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_same")), "left")
@@ -133,10 +208,18 @@ def deduplicated(docs):
     gone = F.coalesce("_gone", F.array().cast("array<bigint>"))
     kept = F.array_except("_codes", gone)
     lines = F.flatten(F.transform(kept, lambda code: _lines_of(code)))
+    changed = F.size(gone) > 0
+    if runs:
+        numbers = lambda codes: F.flatten(F.transform(codes, lambda c: F.sequence(_start(c), c.bitwiseAND(F.lit(_STOP - 1)) - 1)))
+        covers = F.coalesce("_covers", F.array().cast("array<bigint>"))
+        left = F.array_except(numbers(kept), numbers(covers))
+        rows = rows.withColumn("_left", F.transform(left, lambda i: F.get("_lines", i.cast("int"))))
+        lines = F.col("_left")
+        changed = changed | (F.size(covers) > 0)
     size = lambda x: F.coalesce(F.when(x.isNotNull(), F.size(x)), F.lit(0)).cast("long")
     return rows.select(
         *(c for c in docs.columns if c != "text"),
-        F.when(F.size(gone) > 0, F.array_join(lines, "\n")).otherwise(F.col("text")).alias("text"),
+        F.when(changed, F.array_join(lines, "\n")).otherwise(F.col("text")).alias("text"),
         size(F.col("_lines")).alias("n_lines"),
         size(F.col("_codes")).alias("n_chunks"),
         F.size(gone).cast("long").alias("n_removed_chunks"),

@@ -93,3 +93,64 @@ def test_empty_table_and_plan(spark, documents):
     assert df.count() == 0
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_runs(texts):
+    """Text and number of removed lines if each later run of LONG_WORDS words goes, besides repeated chunks."""
+    first, seen, out = {}, set(), {}
+    for k, text in enumerate(texts):
+        if text is None:
+            out[k] = (None, 0)
+            continue
+        lines, gone, at = text.split("\n"), set(), 0
+        for c in chunks(text):
+            if len(c) > 1 or c[0].count(" ") + 1 >= D.LONG_WORDS:
+                gone.update(range(at, at + len(c)) if c in seen else ())
+                seen.add(c)
+            at += len(c)
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                if sum(x.count(" ") + 1 for x in lines[i:j]) < D.LONG_WORDS:
+                    continue
+                doc, start = first.setdefault(tuple(lines[i:j]), (k, i))
+                if (doc, start) != (k, i):
+                    gone.update(x for x in range(i, j) if doc != k or x >= start + j - i)
+        out[k] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone))
+    return out
+
+
+def runs_corpus():
+    rng = random.Random(5)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passages = [[line(rng.randint(3, 40)) for _ in range(rng.randint(2, 8))] for _ in range(8)] + [[line(30), line(30), line(5)], [line(5), line(70)]]
+    texts = []
+    for _ in range(40):
+        lines = [line(rng.randint(1, 12)) for _ in range(rng.randint(0, 6))]
+        for p in rng.sample(passages, rng.randint(0, 3)):
+            at = rng.randint(0, len(lines))
+            lines[at:at] = p[rng.randint(0, 1) :]
+        texts.append("\n".join(lines))
+    return [*texts, "x\n" * 160, texts[1], None, "", "\n".join(passages[8] * 3)]
+
+
+def test_every_repeated_run_against_brute_force(spark, documents):
+    texts = runs_corpus()
+    rows = {r["doc_id"]: (r["text"], r["n_removed_lines"]) for r in D.deduplicated(documents(texts, 5), runs=True).collect()}
+    assert rows == brute_runs(texts)
+    by_chunks = result(D.deduplicated(documents(texts, 5)))
+    assert sum(r[1] for r in rows.values()) > sum(r[4] for r in by_chunks.values())
+
+
+def test_a_passage_of_few_short_lines(spark, documents):
+    passage = [" ".join(f"{a}{k}" for k in range(20)) for a in "abc"]
+    texts = ["\n".join(["one", *passage, "two"]), "\n".join(["three", *passage, "four"])]
+    assert D.deduplicated(documents(texts), runs=True).where("doc_id = 1").first()["text"] == "three\nfour"
+
+
+def test_runs_of_texts_that_share_an_id(spark):
+    passage = "\n".join(" ".join(f"{a}{k}" for k in range(20)) for a in "abc")
+    rows = [(3, "one\n" + passage), (3, "two\n" + passage), (None, "x\n" + passage)]
+    out = D.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), runs=True)
+    assert sorted(r["text"] for r in out.collect()) == ["one", "two", "x\n" + passage]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
