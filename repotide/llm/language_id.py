@@ -3,9 +3,11 @@
 Texts become letters in lower case, with single spaces between runs of letters. Spark counts
 the four-letter grams of each language over all training texts (summed in each task first),
 and derives continuation counts, discounts and back-off weights of every order. The model is
-kept as sorted hash arrays: for each order the hashes of its grams and contexts, and beside
-them one column per language. A hash is the gram modulo HASHES, so the arrays that are sent to
-the tasks hold at most HASHES rows an order, whatever the corpus. A text gets the language of
+kept as sorted arrays: for each order its grams and contexts, and beside them one column per
+language. The letters of the training texts are numbered, so that a gram is a 64-bit number of
+its own and shares its row with no other; a letter that was not trained on has the number 0,
+which is in no gram of the model. The arrays grow with the distinct grams of the corpus; they
+are gathered by the driver and sent to the tasks. More than LETTERS letters are an error. A text gets the language of
 lowest cross-entropy per character; the sharpness of the scores and, for each language, the
 cross-entropy beyond which an answer is rejected are calibrated on all training texts.
 
@@ -22,7 +24,8 @@ from pyspark.sql.types import StructType
 from repotide.scratch import write_table
 
 ORDER = 4
-HASHES = 2_097_143
+#: Letters of the training texts (the space is one) that 16 bits can number.
+LETTERS = 65_535
 #: Characters handled at once by a task; longer texts are cut, sums are not affected.
 CHUNK = 400_000
 #: Distinct grams that a task holds before it hands them on.
@@ -35,13 +38,13 @@ SCORES_DDL = "doc_id long, held_out boolean, lang string, letters long, entropy
 
 
 def fold_table():
-    """Lower-case letter of each code point (16 bits), or a space."""
-    table = np.full(0x110000, 32, np.uint16)
+    """Lower-case letter of each code point, or a space."""
+    table = np.full(0x110000, 32, np.uint32)
     for c in range(0x110000):
         s = chr(c)
         if s.isalpha():
             low = s.lower()
-            table[c] = (ord(low) if len(low) == 1 else c) & 0xFFFF
+            table[c] = ord(low) if len(low) == 1 else c
     return table
 
 
@@ -59,7 +62,7 @@ def folded(text, table):
 
 
 def grams(letters):
-    """The four-letter grams as 64-bit numbers, earlier letters in higher bits."""
+    """The grams of four numbered letters as 64-bit numbers, earlier letters in higher bits."""
     n = len(letters) - ORDER + 1
     out = np.zeros(n, np.uint64)
     for k in range(ORDER):
@@ -77,12 +80,38 @@ def held_out():
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(4)) == 2
 
 
-def gram_counts(docs, table):
-    """(lang, gram, c) of the training texts."""
-    rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+def training(docs):
+    return docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+
+
+def alphabet(docs, table):
+    """Number of each letter: from 1 on in the training texts, 0 elsewhere."""
+    rows = training(docs).select("text")
     shared = rows.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
+        seen = np.zeros(0x110000, bool)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                seen[folded(batch.column(0)[k].as_py(), shared.value)] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen).astype(np.int32))], ["letter"])
+
+    # One row a letter, of which Unicode has fewer than 140,000.
+    letters = sorted(r[0] for r in rows.mapInArrow(run, "letter int").distinct().collect())
+    if len(letters) > LETTERS:
+        raise ValueError(f"{len(letters)} letters in the training texts; at most {LETTERS} can be numbered")
+    numbers = np.zeros(0x110000, np.uint64)
+    numbers[letters] = np.arange(1, len(letters) + 1)
+    return numbers
+
+
+def gram_counts(docs, table, numbers):
+    """(lang, gram, c) of the training texts."""
+    rows = training(docs)
+    shared = rows.sparkSession.sparkContext.broadcast((table, numbers))
+
+    def run(batches):
+        table, numbers = shared.value
         found = {}
 
         def summed(lang, more=()):
@@ -100,8 +129,8 @@ def gram_counts(docs, table):
         for batch in batches:
             for k in range(batch.num_rows):
                 lang, text = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                for piece in pieces(folded(text, shared.value)):
-                    g, c = np.unique(grams(piece), return_counts=True)
+                for piece in pieces(folded(text, table)):
+                    g, c = np.unique(grams(numbers[piece]), return_counts=True)
                     found.setdefault(lang, []).append((g, c))
                     if sum(len(x[0]) for x in found[lang][1:]) > CHUNK:
                         found[lang] = [summed(lang)]
@@ -141,33 +170,28 @@ def kneser_ney(counts):
     return out
 
 
-def hash_array(rows, langs, missing):
-    """(sorted hashes, matrix hashes x languages) of rows (lang, gram, share)."""
+def gram_array(rows, langs, missing):
+    """(sorted grams, matrix grams x languages) of rows (lang, gram, share)."""
     number = F.array_position(F.array(*(F.lit(x) for x in langs)), F.col("lang")) - 1
-    # a gram is an unsigned 64-bit number; its remainder from its two halves, as in `lookup`
-    low, high = F.col("gram").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("gram", 32)
-    key = (high * ((1 << 32) % HASHES) + low) % HASHES
-    kept = rows.groupBy(key.alias("key"), number.cast("int").alias("number")).agg(F.max("share").alias("share"))
-    got = kept.toPandas()
-    keys, row = np.unique(got["key"].to_numpy(np.int64), return_inverse=True)
+    got = rows.select("gram", number.cast("int").alias("number"), F.col("share").cast("float").alias("share")).toPandas()
+    keys, row = np.unique(got["gram"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
     matrix = np.full((len(keys) + 1, len(langs)), missing, np.float32)
     matrix[row, got["number"].to_numpy()] = got["share"].to_numpy(np.float32)
     return keys, matrix
 
 
 def lookup(array, grams):
-    """Rows of a hash array for grams; the last row for those that are not in it."""
+    """Rows of a gram array for grams; the last row for those that are not in it."""
     keys, matrix = array
-    wanted = (grams % np.uint64(HASHES)).astype(np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-    return matrix[np.where(keys[at] == wanted, at, len(keys))] if len(keys) else matrix[np.zeros(len(grams), int)]
+    at = np.minimum(np.searchsorted(keys, grams), max(len(keys) - 1, 0))
+    return matrix[np.where(keys[at] == grams, at, len(keys))] if len(keys) else matrix[np.zeros(len(grams), int)]
 
 
 class Model:
-    """Sorted hash arrays of shares and back-off weights, highest order first."""
+    """Numbers of the letters, and sorted arrays of shares and back-off weights, highest order first."""
 
-    def __init__(self, langs, orders):
-        self.langs, self.orders = langs, orders
+    def __init__(self, langs, orders, numbers):
+        self.langs, self.orders, self.numbers = langs, orders, numbers
 
     def log_probability(self, grams):
         """Natural logarithm, grams x languages, of the last letter after those before it."""
@@ -196,7 +220,7 @@ class Model:
 
         for k, text in enumerate(texts):
             for piece in pieces(folded(text or "", table)):
-                held.append(grams(piece))
+                held.append(grams(self.numbers[piece]))
                 owners.append(k)
                 size += len(held[-1])
                 if size >= CHUNK:
@@ -209,12 +233,13 @@ class Model:
 
 def train(docs, table):
     """The model of the training texts, or None if there are none."""
-    counts = write_table(gram_counts(docs, table), "gram-counts")
+    numbers = alphabet(docs, table)
+    counts = write_table(gram_counts(docs, table, numbers), "gram-counts")
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not langs:
         return None
-    orders = [(hash_array(share, langs, 0.0), hash_array(backoff, langs, 1.0)) for share, backoff in kneser_ney(counts)]
-    return Model(langs, orders)
+    orders = [(gram_array(share, langs, 0.0), gram_array(backoff, langs, 1.0)) for share, backoff in kneser_ney(counts)]
+    return Model(langs, orders, numbers)
 
 
 def scored(docs, model, table):

@@ -100,3 +100,24 @@ def test_long_texts_are_cut_without_loss(trained, monkeypatch):
 def test_nothing_to_learn_from(spark, documents):
     assert {r["lang_pred"] for r in L.predicted(documents([("a b", None, None), None])).collect()} == {"und"}
     assert L.predicted(documents(["a"]).limit(0)).count() == 0
+
+
+def test_grams_share_no_row(spark):
+    """Each trained gram keeps its share, and any other backs off, also 2,097,143 (once the number of slots) further on."""
+    keys = [5, 5 + 2_097_143, 2**40, -7]
+    rows = [("en", g, 0.1 * (k + 1)) for k, g in enumerate(keys)]
+    array = L.gram_array(spark.createDataFrame(rows, "lang string, gram long, share double"), ["de", "en"], 0.0)
+    wanted = np.array([*keys, 5 + 2 * 2_097_143, 2**40 + 2_097_143], np.int64).view(np.uint64)
+    assert np.allclose(L.lookup(array, wanted), [[0, 0.1], [0, 0.2], [0, 0.3], [0, 0.4], [0, 0], [0, 0]])
+
+
+def test_letters_beyond_16_bits_are_told_apart(spark, documents):
+    """U+20061 and the like equal Latin letters in their lowest 16 bits."""
+    latin = ["abc cab bca" * 3, "bac abc cba" * 3]
+    han = ["".join(chr(0x20000 + ord(x)) if x != " " else x for x in t) for t in latin]
+    texts = [(t, lang, "s") for t, lang in zip(latin + han, ["x", "x", "y", "y"], strict=True)] * 12
+    rows = {r["doc_id"]: r["lang_pred"] for r in L.predicted(documents(texts)).collect()}
+    assert rows == {k: t[1] for k, t in enumerate(texts)}
+    model = L.train(documents(texts), L.fold_table())
+    (_, x), (_, y) = model.cross_entropies([latin[0], han[0]], L.fold_table())
+    assert x[0] < 2 < 5 < x[1] and y[1] < 2 < 5 < y[0]
