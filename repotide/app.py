@@ -13,6 +13,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from repotide.contract import BATCH_INTERVAL, LANGUAGES  # noqa: E402
+from repotide.scratch import read_existing  # noqa: E402
 from repotide.session import build_session  # noqa: E402
 from repotide.sources.ndjson import stream_lines  # noqa: E402
 from repotide.streaming import landing, lifetime, recent, refresh  # noqa: E402
@@ -45,7 +46,10 @@ def run(spark, lines, out, languages=LANGUAGES, interval=BATCH_INTERVAL, refresh
     if interval is None:
         jobs[1].awaitTermination()
 
+    # A run before this one may have ended between folding a micro-batch and publishing it.
     pending, lock = set(), threading.Lock()
+    if read_existing(spark, path("repos")) is not None:
+        pending.add("restart")
 
     def publish_pending():
         with lock:

@@ -277,11 +277,25 @@ def stream_recent_counts(spark, sf):
     return recent.recent_counts(spark, path, HALF_DAY).withColumns(as_text("batch_time"))
 
 
+def _date_files(spark, folder):
+    """Give the files of a sorted output times in the order of their names, as if a producer had
+    written one after the other. Only the listing goes through the driver."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(status.getPath().toString() for status in files.listStatus(path))
+    for n, name in enumerate(names):
+        files.setTimes(spark._jvm.org.apache.hadoop.fs.Path(name), 1_700_000_000_000 + 1000 * n, -1)
+
+
 @query
 def arrival_order(spark, sf):
     """Events whose lines carry no sequence number: the first to arrive wins, whenever pushed."""
     lines = ndjson.to_lines(tables.events(spark, sf).drop("seq").orderBy("pushed_at", F.desc("id")))
-    table, _ = _land(spark, lines.coalesce(1), EVENT_SCHEMA, "arrival")
+    inbox = _landed_lines(spark, lines, "arrival-lines")
+    _date_files(spark, inbox)
+    source = ndjson.stream_lines(spark, path=inbox)
+    table = scratch_path(spark, "arrival-landed")
+    finish(landing.land(source, table, scratch_path(spark, "arrival-checkpoint"), EVENT_SCHEMA))
     landed = landing.landed(spark, table, EVENT_SCHEMA)
     return state.dedup_first_seen(landed.drop("line", "bad", "batch", "batch_time")).select(
         "id", F.date_format("pushed_at", "yyyy-MM-dd HH:mm:ss").alias("pushed_at")

@@ -41,8 +41,9 @@ def events(spark, sf_dir):
 
 def event_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return _event_columns(reader.parquet(sf_dir))
+    # A stream must be given a folder or a pattern; the braces make a pattern that only the table's
+    # name matches, whether it is one file or a folder of files.
+    return _event_columns(spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events.parquet}}"))
 
 
 def orders(spark, sf_dir):

@@ -4,9 +4,14 @@ A written table cuts lineage and survives the loss of executors. In-process loca
 the setting (tests, a laptop) gets a temporary folder; anything with executors of its own needs
 the setting, because a machine-local folder would not be visible to them. Tables are kept in a
 folder per application; `temporary` deletes those of a block of work when it ends.
+
+A block owns the tables that its own thread makes, and those of threads it starts through
+`inherited`. Jobs that run side by side in other threads are not touched by its end.
 """
 
 import contextlib
+import contextvars
+import functools
 import re
 import tempfile
 import uuid
@@ -14,7 +19,8 @@ import uuid
 from pyspark.errors import AnalysisException
 
 SETTING = "spark.checkpoint.dir"
-_scopes = {}
+# The lists of paths of the blocks that the current thread is in, outermost first.
+_scopes = contextvars.ContextVar("scratch scopes", default=())
 
 
 def scratch_path(spark, label):
@@ -26,11 +32,26 @@ def scratch_path(spark, label):
         spark.conf.set(SETTING, base)
     application = spark.sparkContext.applicationId
     path = f"{base.rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
-    for paths in _scopes.values():
+    for paths in _scopes.get():
         paths.append(path)
     return path
 
 
+def inherited(function):
+    """`function` for another thread: what it writes belongs to the blocks open here and now."""
+    scopes = _scopes.get()
+
+    @functools.wraps(function)
+    def run(*args, **options):
+        token = _scopes.set(scopes)
+        try:
+            return function(*args, **options)
+        finally:
+            _scopes.reset(token)
+
+    return run
+
+
 def write_table(df, label):
     """Write `df` as Parquet below the shared folder and return the table read back."""
     path = scratch_path(df.sparkSession, label)
@@ -47,12 +68,12 @@ def delete(spark, path):
 @contextlib.contextmanager
 def temporary(spark):
     """Scratch tables made inside the block are deleted after it; read nothing of them later."""
-    key, paths = object(), []
-    _scopes[key] = paths
+    paths = []
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        del _scopes[key]
+        _scopes.reset(token)
         for path in paths:
             delete(spark, path)
 

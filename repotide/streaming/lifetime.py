@@ -16,6 +16,7 @@ from repotide.streaming.run import start, with_rocksdb
 
 
 LANGUAGE_TOTALS = (["language"], ["repos", "stars", "rated"])
+TOTALS = "language string, repos long, stars long, rated long"
 
 
 def first_seen_updates(stream, carry, arrival=("batch_time", "seq")):
@@ -55,7 +56,9 @@ def maintain_totals(stream, path, checkpoint, interval=None):
 
 
 def language_totals(spark, path):
-    return snapshots.read_totals(spark, path, *LANGUAGE_TOTALS)
+    """The totals so far; no rows before the first repository."""
+    totals = snapshots.read_totals(spark, path, *LANGUAGE_TOTALS)
+    return spark.createDataFrame([], TOTALS) if totals is None else totals
 
 
 def lifetime_counts(spark, path):

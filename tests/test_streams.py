@@ -188,3 +188,77 @@ def test_refreshes_leave_no_scratch_tables(spark, tmp_path):
         run(spark, ndjson.stream_lines(spark, path=str(inbox)), out, interval=None)
         sizes.append(len(os.listdir(folder)) if os.path.isdir(folder) else 0)
     assert sizes[0] == sizes[-1]
+
+
+def test_streams_read_tables_of_several_files(spark, tmp_path):
+    """A table that is a folder gives the rows of the table that is one file."""
+    from repotide.plans.registry import QUERIES
+
+    spark.read.parquet(f"{SF}/events.parquet").repartition(5).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("stream_lifetime_counts", "stream_avg_stars", "stream_recent_counts"):
+        found = rows(QUERIES[name](spark, str(tmp_path)))
+        assert found and found == rows(QUERIES[name](spark, SF))
+
+
+def test_streams_without_any_row(spark, events, tmp_path):
+    events.limit(0).write.parquet(f"{tmp_path}/in")
+    stream = lambda: stream_of(spark, events, f"{tmp_path}/in")
+    finish(lifetime.maintain_totals(stream(), f"{tmp_path}/totals", f"{tmp_path}/c1"))
+    assert rows(lifetime.lifetime_counts(spark, f"{tmp_path}/totals")) == []
+    assert rows(lifetime.lifetime_averages(spark, f"{tmp_path}/totals")) == []
+    finish(recent.maintain_pushes(recent.replayed(stream(), DAY), f"{tmp_path}/pushes", f"{tmp_path}/c2"))
+    assert rows(recent.recent_counts(spark, f"{tmp_path}/pushes", HALF_DAY)) == []
+
+
+def test_blocks_of_two_threads_keep_their_own_scratch_tables(spark):
+    import threading
+
+    from repotide.scratch import inherited, read_existing, temporary, write_table
+
+    opened, ended, found = threading.Event(), threading.Event(), []
+
+    def other():
+        with temporary(spark):
+            opened.set()
+            ended.wait(60)
+            found.append(write_table(spark.range(3), "theirs").count())
+
+    thread = threading.Thread(target=other)
+    with temporary(spark):
+        thread.start()
+        assert opened.wait(60)
+        with temporary(spark):
+            mine = write_table(spark.range(5), "inner")
+            path = mine.inputFiles()[0].rsplit("/", 1)[0]
+            workers = []
+            worker = threading.Thread(target=inherited(lambda: workers.append(write_table(spark.range(2), "worker"))))
+            worker.start()
+            worker.join()
+            started = workers[0].inputFiles()[0].rsplit("/", 1)[0]
+        assert read_existing(spark, path) is None and read_existing(spark, started) is None
+    ended.set()
+    thread.join()
+    assert found == [3]
+
+
+def test_landing_and_refresh_side_by_side(spark, tmp_path):
+    """The end of one job's block takes nothing from the other, in many rounds of both."""
+    import threading
+
+    from repotide.scratch import temporary, write_table
+
+    def rounds(n, failures):
+        try:
+            for _ in range(6):
+                with temporary(spark):
+                    assert write_table(spark.range(n), f"rounds-{n}").count() == n
+        except Exception as error:
+            failures.append(error)
+
+    failures = []
+    threads = [threading.Thread(target=rounds, args=(n, failures)) for n in (7, 8, 9)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert failures == []
