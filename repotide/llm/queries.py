@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from repotide.llm import bpe, decontamination, language_id, licenses, line_dedup, ngram_join, pii, quality_classifier, quality_rules, warc
+from repotide.llm import bpe, decontamination, filter_audit, language_id, licenses, line_dedup, ngram_join, pii, quality_classifier, quality_rules, warc
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -78,3 +78,11 @@ def op9_quality_classifier(spark, sf_dir):
 @query
 def op10_personal_data(spark, sf_dir):
     return pii.detected(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = filter_audit.ORACLE
