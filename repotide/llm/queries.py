@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from repotide.llm import bpe, decontamination, filter_audit, language_id, licenses, line_dedup, ngram_join, pii, quality_classifier, quality_rules, warc
+from repotide.llm import bpe, decontamination, filter_audit, language_id, licenses, line_dedup, ngram_join, packing, pii, quality_classifier, quality_rules, warc, whitening
 from repotide.llm.common import table
 
 QUERIES = {}
@@ -80,6 +80,16 @@ def op10_personal_data(spark, sf_dir):
     return pii.detected(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_packing(spark, sf_dir):
+    return packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
