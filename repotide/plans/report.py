@@ -29,8 +29,8 @@ def word_section(repos, languages=LANGUAGES, word_counts=None):
     return nested.unionByName(empty.withColumn("top_ten_words", nothing))
 
 
-def topic_section(repos, languages=LANGUAGES):
-    nested = topics.topics_nested(topics.lda_topics(repos, languages))
+def topic_section(repos, languages=LANGUAGES, term_statistics=None):
+    nested = topics.topics_nested(topics.lda_topics(repos, languages, statistics=term_statistics))
     listed = F.array_sort(F.collect_list(F.struct("topic_id", "top_words", "word_weights")))
     return nested.groupBy("language").agg(listed.alias("topics"))
 
@@ -50,12 +50,19 @@ def entity_section(repos, languages=LANGUAGES, dictionary=ENTITIES, entity_count
     )
 
 
-def trend_section(repos, as_of, languages=LANGUAGES):
-    """req8 over real creation dates, and demonstration dates where a language has none."""
-    rows = trends.dated_rows(repos, languages).unionByName(
-        trends.synthetic_dates(repos, as_of, languages)
-    )
-    return trends.trend_report(trends.monthly_trend(rows))
+def trend_section(repos, as_of, languages=LANGUAGES, months=None):
+    """req8 over real creation dates, and demonstration dates where a language has none.
+
+    `months` are the months of the dated rows, if kept up to date elsewhere. Then the repositories
+    are only read for languages that have no dated row at all.
+    """
+    if months is None:
+        months = trends.monthly_rollup(trends.dated_rows(repos, languages))
+        dated = trends.dated_rows(repos, languages).select("language").distinct()
+    else:
+        dated = months.select("language").distinct()
+    made = trends.monthly_rollup(trends.synthetic_dates(repos, as_of, languages, dated=dated))
+    return trends.trend_report(trends.trend_of_months(months.unionByName(made)))
 
 
 def recent_section(history):
@@ -73,6 +80,8 @@ def all_sections(
     language_totals=None,
     word_counts=None,
     entity_counts=None,
+    term_statistics=None,
+    months=None,
 ):
     """The eight results. `repos` are unique; `history` has batch_time, language, count.
 
@@ -82,10 +91,10 @@ def all_sections(
         **count_sections(repos, languages, language_totals),
         "req2": recent_section(history),
         "req4": word_section(repos, languages, word_counts),
-        "req5": topic_section(repos, languages),
+        "req5": topic_section(repos, languages, term_statistics),
         "req6": entity_section(repos, languages, entity_counts=entity_counts),
-        "req7": similarity.similar_pairs(repos, languages),
-        "req8": trend_section(repos, as_of, languages),
+        "req7": similarity.similar_pairs(repos, languages, statistics=term_statistics),
+        "req8": trend_section(repos, as_of, languages, months),
     }
 
 

@@ -96,3 +96,34 @@ def maintain_repos(
     good = landed_stream(spark, table, schema).where(~F.col("bad")).drop("batch_time")
     updates = first_seen_updates(good, ["batch"], arrival=("batch", "seq"))
     return start(updates.writeStream.outputMode("update").foreachBatch(append), checkpoint, interval)
+
+
+# Counts straight from the state of a query, without a table of totals.
+
+STATE_FIELDS = ("language", "stargazers_count")
+
+
+def maintain_state(stream, checkpoint, interval=None):
+    """Keep the first version of each id in the state of a query that writes nothing.
+
+    The checkpoint is the result: `lifetime_state` reads it, also after the query has ended and
+    whether or not it is started again. One struct for each id holds what is carried.
+    """
+    version = F.struct("batch_time", "seq", *STATE_FIELDS)
+    firsts = stamp_batch(with_rocksdb(stream)).groupBy("id").agg(F.min(version).alias("first"))
+    return start(firsts.writeStream.outputMode("update").format("noop"), checkpoint, interval)
+
+
+def lifetime_state(spark, checkpoint):
+    """(id, seq, language, stargazers_count): the state as of the last finished micro-batch.
+
+    Each state partition is read by a task of its own from the checkpoint folder.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    first = F.col("value")["min"]
+    return state.select(F.col("key")["id"].alias("id"), first["seq"].alias("seq"), *[first[c].alias(c) for c in STATE_FIELDS])
+
+
+def state_totals(spark, checkpoint):
+    """(language, repos, stars, rated) from the state."""
+    return counts.language_totals(lifetime_state(spark, checkpoint))
