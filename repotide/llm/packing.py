@@ -40,10 +40,22 @@ LENGTH, END = 2048, 1
 WINDOWS = 64
 #: Items shorter than this are strung together before they are packed.
 LEAST = 64
+#: Marks that are cut off a word's end.
+MARKS = b".,;:!?"
+#: The characters that stand for bytes in the vocabulary: bytes of Latin-1 that show stand for
+#: themselves, the others for the characters from 256 on, in order.
+SHOWING = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in SHOWING)}
 #: Words kept with their ids per worker, and the longest ones kept.
 CACHED, WORD_BYTES = 500_000, 64
 
 
+def _letters(word):
+    """A word of letters up to U+00FF in lower case, or None for any other word."""
+    letters = word.decode()
+    return letters.lower().encode() if letters.isalpha() and max(letters) < "\u0100" else None
+
+
 class Vocabulary:
     """A tokenizer file and the ids of words seen so far. A worker builds the tokenizer once, as
     it keeps what is broadcast."""
@@ -55,29 +67,56 @@ class Vocabulary:
         return {"definition": self.definition, "tokenizer": None, "known": {}}
 
     def _learn(self, words):
+        """Ids of new words. The vocabulary's rule cuts a word of letters with marks behind it
+        between the two, and such words need none of the rule's other steps but lower case, so
+        the merges of the model are enough for them; all others go through the whole rule."""
         if self.tokenizer is None:
             # Spark runs one task a core already; threads of the library would only be in the way.
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_str(self.definition)
-        words = list(words)
+        known, model, other = self.known, self.tokenizer.model, []
+        for word in words:
+            base = word.rstrip(MARKS)
+            lowered = base.lower() if base.isalpha() else _letters(base)
+            if lowered is None or len(word) > WORD_BYTES:
+                other.append(word)
+                continue
+            ids = known.get(lowered)
+            if ids is None:
+                shown = lowered.decode() if lowered.isascii() else lowered.decode("latin-1").translate(SHOWN)
+                ids = known[lowered] = array("I", [t.id for t in model.tokenize(shown)]).tobytes()
+            if len(base) < len(word):
+                marks = word[len(base) :]
+                if marks not in known:
+                    known[marks] = self._whole([marks])[0]
+                ids += known[marks]
+            known[word] = ids
+        known.update(zip(other, self._whole(other), strict=True))
+
+    def _whole(self, words):
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        self.known.update((w, array("I", x.ids).tobytes()) for w, x in zip(words, found, strict=True))
+        return [array("I", x.ids).tobytes() for x in found]
 
     def ids(self, texts):
         """The ids of each text in UTF-8 as little-endian 32-bit numbers, with the end id."""
-        cut = [(t or b"").split() for t in texts]
         if len(self.known) > CACHED:
             self.known.clear()
-        new = {w for words in cut for w in words if w not in self.known}
+        known, cut = self.known, [(t or b"").split() for t in texts]
+        found = [list(map(known.get, words)) for words in cut]
+        holes = [[n for n, x in enumerate(data) if x is None] if None in data else [] for data in found]
+        new = {words[n] for words, places in zip(cut, holes, strict=True) for n in places}
         if new:
             self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, words)) + END.to_bytes(4, "little") for words in cut]
+        for words, data, places in zip(cut, found, holes, strict=True):
+            for n in places:
+                data[n] = known[words[n]]
         for word in new:
             if len(word) > WORD_BYTES:
-                del self.known[word]
-        return out
+                del known[word]
+        end = END.to_bytes(4, "little")
+        return [b"".join(data) + end for data in found]
 
 
 def vocabulary_of(spark, path):

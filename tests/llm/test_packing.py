@@ -86,6 +86,17 @@ def test_words_cut_at_white_space_give_the_ids_of_the_text(tokenizer):
     assert all(len(w) <= packing.WORD_BYTES for w in own.known)
 
 
+@pytest.fixture(scope="module")
+def own():
+    return packing.Vocabulary(open(PATH, encoding="utf-8").read())
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(st.one_of(st.characters(max_codepoint=0x2FF, exclude_categories=("Cs",)), st.sampled_from("aeE .,!?'é́ß")), max_size=30))
+def test_words_of_any_kind(text, own, tokenizer):
+    assert np.frombuffer(own.ids([text.encode()])[0], "<u4").tolist() == ids_of(tokenizer, text)
+
+
 def test_white_space_of_every_kind_is_none_to_the_vocabulary(tokenizer):
     """The claim the cutting rests on: an id never spans one of the six characters."""
     for c in "\x20\x09\x0a\x0b\x0c\x0d":
