@@ -47,7 +47,7 @@ MARKS = b".,;:!?"
 SHOWING = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in SHOWING)}
 #: Words kept with their ids per worker, and the longest ones kept.
-CACHED, WORD_BYTES = 500_000, 64
+CACHED, WORD_BYTES = 1_000_000, 64
 
 
 def _letters(word):
@@ -56,6 +56,11 @@ def _letters(word):
     return letters.lower().encode() if letters.isalpha() and max(letters) < "\u0100" else None
 
 
+def _lowered(text):
+    """A-Z in lower case, as the vocabulary has it, unless that could make a special token."""
+    return text if b"<|" in text else text.lower()
+
+
 class Vocabulary:
     """A tokenizer file and the ids of words seen so far. A worker builds the tokenizer once, as
     it keeps what is broadcast."""
@@ -103,7 +108,7 @@ class Vocabulary:
         """The ids of each text in UTF-8 as little-endian 32-bit numbers, with the end id."""
         if len(self.known) > CACHED:
             self.known.clear()
-        known, cut = self.known, [(t or b"").split() for t in texts]
+        known, cut = self.known, [_lowered(t or b"").split() for t in texts]
         found = [list(map(known.get, words)) for words in cut]
         holes = [[n for n, x in enumerate(data) if x is None] if None in data else [] for data in found]
         new = {words[n] for words, places in zip(cut, holes, strict=True) for n in places}
