@@ -56,10 +56,9 @@ def pattern_grams(dictionary, q=GRAM_CHARS):
     return dictionary.where(F.col("name").isNotNull()).select("entity_type", "name", "entry", F.explode(of_length).alias("gram"))
 
 
-def _lengths(dictionary, q):
-    """Which lengths of q-grams the dictionary needs: at most q + 1 numbers."""
-    rows = dictionary.where(F.col("name").isNotNull()).select(_pattern_length(q).alias("n")).distinct()
-    return sorted(r.n for r in rows.collect())
+def _lengths(filed):
+    """Which lengths of q-grams the patterns need: at most q + 1 numbers."""
+    return sorted(r.n for r in filed.select(F.char_length("gram").alias("n")).distinct().collect())
 
 
 def _fits(table, columns, limit):
@@ -80,12 +79,16 @@ def _salted(rows, keys, by):
     return rows.withColumn("_salt", salt).join(copies, ["gram", "_salt"]).drop("_salt")
 
 
-def gram_index(docs, dictionary, q=GRAM_CHARS, limit=BROADCAST_BYTES):
+def gram_index(docs, dictionary, q=GRAM_CHARS, limit=BROADCAST_BYTES, other_texts=False):
     """(entity_type, name, entry, gram): each pattern with that of its q-grams which the fewest
-    texts hold; equal ones by the order of the text. Written as a table."""
-    lengths = _lengths(dictionary, q)
+    texts hold; equal ones by the order of their letters. Written as a table.
+
+    Patterns with a q-gram that no text holds are left out, unless the index is also meant for
+    `other_texts`, such as later micro-batches; the counts then only make it fast.
+    """
     filed = write_table(pattern_grams(dictionary, q), "pattern-grams")
     wanted = write_table(filed.select("gram").distinct(), "grams")
+    lengths = _lengths(wanted)
     if not lengths:
         return filed
     held = _text_grams(docs, lengths)
@@ -95,22 +98,26 @@ def gram_index(docs, dictionary, q=GRAM_CHARS, limit=BROADCAST_BYTES):
         held = held.join(wanted, "gram", "left_semi")
     counts = held.groupBy("gram").agg(F.count("*").alias("texts"))
     known = filed.join(counts, "gram", "left")
-    place = F.struct("texts", "gram")
+    place = F.struct(F.coalesce("texts", F.lit(0)), "gram")
     rarest = known.groupBy("entity_type", "name", "entry").agg(
         F.min_by("gram", place).alias("gram"), F.count_if(F.col("texts").isNull()).alias("missing")
     )
-    return write_table(rarest.where("missing = 0").drop("missing"), "gram-index")
+    if not other_texts:
+        rarest = rarest.where("missing = 0")
+    return write_table(rarest.drop("missing"), "gram-index")
 
 
-def entity_mentions(docs, dictionary, q=GRAM_CHARS, limit=BROADCAST_BYTES):
+def entity_mentions(docs, dictionary=None, q=GRAM_CHARS, limit=BROADCAST_BYTES, index=None):
     """(language, id, seq, entity_type, name, entry) for a table of patterns (entity_type, name,
     entry): a pattern is mentioned if it is a substring of the lower-cased description.
 
     `docs` are unique by id. An index of up to `limit` bytes is broadcast and the texts stay where
     they are read; beyond it, (id, q-gram) pairs are shuffled and the candidates join their texts.
+    An `index` made for other texts may be given in place of the dictionary.
     """
-    index = gram_index(docs, dictionary, q, limit)
-    lengths = _lengths(index, q)
+    if index is None:
+        index = gram_index(docs, dictionary, q, limit)
+    lengths = _lengths(index)
     if not lengths:
         return docs.select("language", "id", "seq").join(index.drop("gram"), F.lit(False)).select(*MENTION)
     text = F.lower("description")

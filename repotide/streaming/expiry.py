@@ -1,98 +1,49 @@
-"""First versions with a bound: a repository is new again once its first version has expired.
+"""First versions with a bound: a repository is new again once nothing of it came for some time.
 
 `lifetime` keeps every id for ever. A producer that repeats a repository only within some time
-needs no more than that: the state of an id is dropped when the watermark passes the time of its
-first version by more than `bound`. A version counts if no counted one of its id is at most
-`bound` older. Of the versions that arrive in the same micro-batch the order is (push time, seq),
-so the result does not depend on how Spark deals out rows.
-
-With versions of an id never further apart than `bound` from the first, this is
-`dedup_first_seen`; `within_bound` is the same rule over a finished table. Rows that are more than
-`late` behind the newest push are dropped by the watermark.
+needs no more than that. Versions of an id that follow each other within `bound` are one
+session, and its first version counts. A session leaves the state when the watermark has passed
+its last version by `bound`, so state holds the ids of the last `bound` plus `late` and no others.
+If all versions of an id lie in one session, as the producer promises, this is `dedup_first_seen`.
+
+Both forms are one aggregation by session. Versions of an id are merged in each task before they
+are shuffled, so a hot id moves one row per task and session. The stream emits a session's first
+version once, when the session has closed, and never changes it.
 """
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from repotide.streaming.run import with_rocksdb
 
-STATE = "until timestamp"
-
-
-def seconds_of(spark, interval):
-    """The length of an interval such as "2 hours"."""
-    length = F.unix_timestamp(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {interval}"))
-    return spark.range(1).select(length).first()[0]
-
-
-def counted_versions(versions, until, bound):
-    """The indices of the versions (push times in order) that count, given when the last counted
-    one expires, and when the last one expires now."""
-    counted = []
-    for n, at in enumerate(versions):
-        if until is None or at > until:
-            counted.append(n)
-            until = at + bound
-    return counted, until
-
-
-def _keep(columns, bound_seconds):
-    """The state function: the versions of one id in a micro-batch, or its expiry."""
-    import datetime
-
-    bound = datetime.timedelta(seconds=bound_seconds)
+# Sessions are merged in each task before the shuffle.
+LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
-    def keep(key, frames, state):
-        import pandas as pd
 
-        if state.hasTimedOut:
-            state.remove()
-            return
-        frames = [f for f in frames if len(f)]
-        if not frames:
-            return
-        rows = pd.concat(frames).sort_values(["pushed_at", "seq"], kind="stable")
-        until = pd.Timestamp(state.get[0]) if state.exists else None
-        counted, until = counted_versions(list(rows["pushed_at"]), until, bound)
-        state.update((until.to_pydatetime(),))
-        # Timeouts count from the epoch in milliseconds; one past the last moment that matters.
-        expires = int(until.tz_localize("UTC").timestamp() * 1000) + 1
-        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
-        if counted:
-            yield rows.iloc[counted][columns]
+def first_of_sessions(repos, bound):
+    """The first version, by (push time, seq), of each session of each id; other columns as in it.
 
-    return keep
-
-
-def first_seen_within(stream, bound, late, columns=None):
-    """A stream of the versions that count. `columns` must hold id, seq and pushed_at."""
-    columns = list(columns or stream.columns)
-    schema = T.StructType([f for c in columns for f in stream.schema.fields if f.name == c])
-    marked = with_rocksdb(stream).select(*columns).withWatermark("pushed_at", late)
-    seconds = seconds_of(stream.sparkSession, bound)
-    return marked.groupBy("id").applyInPandasWithState(
-        _keep(columns, seconds), schema, STATE, "append", "EventTimeTimeout"
+    For a finished table or, with a watermark on `pushed_at`, a stream.
+    """
+    repos.sparkSession.conf.set(LOCAL_MERGE, "true")
+    version = F.struct("pushed_at", "seq")
+    rest = [c for c in repos.columns if c not in ("id", "pushed_at", "seq")]
+    firsts = repos.groupBy(F.session_window("pushed_at", bound), "id").agg(
+        F.min(version).alias("first"), *[F.min_by(c, version).alias(c) for c in rest]
     )
+    return firsts.select("id", "first.seq", "first.pushed_at", *rest)
 
 
-def within_bound(repos, bound):
-    """The versions of a finished table that count, by the same rule.
+def first_seen_within(stream, bound, late):
+    """A stream of the first versions of closed sessions. Rows more than `late` behind the newest
+    push are dropped."""
+    return first_of_sessions(with_rocksdb(stream).withWatermark("pushed_at", late), bound)
 
-    The versions of one id are folded in one row, as (push time, seq) alone: an id with very many
-    versions costs 16 bytes for each.
-    """
-    version = F.struct("pushed_at", "seq")
-    span = F.expr(f"INTERVAL {bound}")
-    nothing = F.array().cast("array<bigint>")
-    start = F.struct(F.lit(None).cast("timestamp").alias("until"), nothing.alias("seqs"))
 
-    def step(state, x):
-        new = state["until"].isNull() | (x["pushed_at"] > state["until"])
-        return F.when(
-            new,
-            F.struct((x["pushed_at"] + span).alias("until"), F.concat(state["seqs"], F.array(x["seq"])).alias("seqs")),
-        ).otherwise(state)
+def ids_within(stream, bound):
+    """A stream of ids, each at its first row and not again for at least `bound` of push time.
 
-    folded = F.aggregate(F.array_sort(F.collect_list(version)), start, step, lambda state: state["seqs"])
-    counted = repos.groupBy("id").agg(folded.alias("seqs")).select("id", F.explode("seqs").alias("seq"))
-    return repos.join(counted, ["id", "seq"], "left_semi")
+    At once, not when a session has closed; so of the versions in one micro-batch it cannot say
+    which came first, and gives the id alone.
+    """
+    marked = with_rocksdb(stream).select("id", "pushed_at").withWatermark("pushed_at", bound)
+    return marked.dropDuplicatesWithinWatermark(["id"]).select("id")
