@@ -39,6 +39,8 @@ LEVELS = 3
 BUCKET, BLOCK_SKETCHES = 512, 4096
 #: Shingles in a block of the exact comparison, besides at most BUCKET sets.
 BLOCK_SHINGLES = 400_000
+#: Bits of the filter that picks the texts of some documents: 16 MB, whatever their number.
+HEAD_BITS = 1 << 27
 #: Bins of a sketch, one byte each.
 BINS = 256
 #: Standard deviations that a sketch may fall short of the threshold.
@@ -175,9 +177,31 @@ def _edges(similarity):
     return run
 
 
+def _place(column):
+    """Number of a doc_id's bit among HEAD_BITS, counted from 1 as Spark's bitmaps do."""
+    return F.pmod(F.xxhash64(column), F.lit(HEAD_BITS)) + 1
+
+
+def _maybe_among(texts, heads):
+    """Rows of `texts` whose _doc may be one of `heads`: a bitmap of HEAD_BITS hashed bits, in
+    pieces of 4 KB, is broadcast. A row that is none of them stays only if it shares a bit."""
+    place = _place(heads.columns[0])
+    bits = heads.groupBy(F.bitmap_bucket_number(place).alias("_piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")
+    )
+    at = F.bitmap_bit_position(_place("_doc")).cast("int")
+    byte = F.conv(F.hex(F.expr("substring(_bits, _at div 8 + 1, 1)")), 16, 10).cast("int")
+    marked = texts.withColumns({"_piece": F.bitmap_bucket_number(_place("_doc")), "_at": at})
+    # At most HEAD_BITS / 8 bytes.
+    found = marked.join(F.broadcast(bits), "_piece")
+    return found.where(F.getbit(byte, F.col("_at") % 8) == 1).drop("_piece", "_at", "_bits")
+
+
 def texts_of(docs, members):
-    """`members` (key, head, ...) with the text of a document that has the set `key`."""
-    texts = docs.select(F.col("doc_id").alias("_doc"), "text")
+    """`members` (key, head, ...) with the text of a document that has the set `key`. Texts of
+    documents that are no heads are left out before anything is shuffled."""
+    members = write_table(members, "members")
+    texts = _maybe_among(docs.select(F.col("doc_id").alias("_doc"), "text"), members.select("head"))
     return members.join(texts, F.col("head").eqNullSafe(F.col("_doc"))).drop("_doc")
 
 

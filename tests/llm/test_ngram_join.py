@@ -102,3 +102,18 @@ def test_components(spark):
             label[a] = label[b] = min(label[a], label[b])
     got = dict(map(tuple, components(spark.createDataFrame(pairs, "u string, v string")).collect()))
     assert got == {v: r for v, r in label.items() if v != r}
+
+
+def test_texts_of_few_documents_are_all_found(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 1000 == 999, None).otherwise(F.col("id") - 1500).alias("doc_id"), F.concat(F.lit("t"), "id").alias("text")
+    )
+    heads = [-1500, 0, 7, 1498, None]
+    members = spark.createDataFrame([(str(h), h) for h in heads], "key string, head long")
+    found = {(r.key, r["text"]) for r in ngram_join.texts_of(docs, members).collect()}
+    expected = {(str(h), f"t{n}") for n in range(3000) for h in heads if h == (None if n % 1000 == 999 else n - 1500)}
+    assert found == expected
+    few = ngram_join._maybe_among(docs.select(F.col("doc_id").alias("_doc"), "text"), members.select("head"))
+    assert few.count() < 20
