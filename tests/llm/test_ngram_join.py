@@ -112,8 +112,8 @@ def test_texts_of_few_documents_are_all_found(spark):
     )
     heads = [-1500, 0, 7, 1498, None]
     members = spark.createDataFrame([(str(h), h) for h in heads], "key string, head long")
-    found = {(r.key, r["text"]) for r in ngram_join.texts_of(docs, members).collect()}
+    found = {(r.key, r["text"]) for r in J.texts_of(docs, members).collect()}
     expected = {(str(h), f"t{n}") for n in range(3000) for h in heads if h == (None if n % 1000 == 999 else n - 1500)}
     assert found == expected
-    few = ngram_join._maybe_among(docs.select(F.col("doc_id").alias("_doc"), "text"), members.select("head"))
+    few = J._maybe_among(docs.select(F.col("doc_id").alias("_doc"), "text"), members.select("head"))
     assert few.count() < 20
