@@ -12,12 +12,13 @@ task first, so a chunk in a third of all documents moves one row a task. Only ch
 digest stands for one string of bytes are removed. Texts are shuffled twice: as chunks to
 that grouping and whole to the join with the places to remove.
 
-Chunks miss a repeated passage whose boundaries fall outside it. `deduplicated(docs, runs=True)`
-removes each repeated run of lines with LONG_WORDS words or more besides: windows (the shortest
-run of that many words from each line on, and up to each line) are grouped by two hashes and the
-SHA-256 of their bytes, and the lines of a later occurrence go, without those that the first
-occurrence has itself. A window has LONG_WORDS lines at most, as a line counts as a word or more.
-Without `runs` the result is the one that ORACLE defines.
+Chunks miss a repeated passage whose boundaries fall outside it. So each repeated run of lines
+with LONG_WORDS words or more goes besides. Each line of such a run stands in two places, so all
+others are left out first, by a grouping of line hashes. Windows of the rest (the shortest run of
+that many words from each line on, and up to each line) are grouped by two hashes and the SHA-256
+of their lines' 128-bit hashes, and the lines of a later occurrence go, without those that the
+first occurrence has itself. A window has LONG_WORDS lines at most, as a line counts as a word or
+more. `runs=False` leaves this out.
 
 A null text stays null and has no lines; an empty text has one empty line. Rows that share a
 doc_id are told apart by their text; equal rows get equal results. A null doc_id counts as
@@ -116,44 +117,65 @@ def occurrences(docs):
     return rows.select("doc_id", "_text", "_code", _order(), *DIGEST, "_chunk")
 
 
+def repeated_lines(docs):
+    """doc_id, _text and in `_lines` the lines that stand in two places at least, in order: their
+    number, two hashes and words."""
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("_text"), F.split("text", "\n", -1).alias("_all"))
+    rows = rows.select("doc_id", "_text", F.posexplode("_all").alias("_i", "_line"))
+    hashes = (F.xxhash64("_line").alias("_h1"), F.xxhash64(F.lit(7), "_line").alias("_h2"))
+    rows = rows.select("doc_id", "_text", "_i", *hashes, F.least(_n_words(F.col("_line")), F.lit(LONG_WORDS)).alias("_words"))
+    again = rows.groupBy("_h1", "_h2").agg(F.count("*").alias("_n")).where("_n > 1")
+    rows = rows.join(again.drop("_n"), ["_h1", "_h2"])
+    # Equal rows bring the same lines twice; a set has them once.
+    found = F.array_sort(F.collect_set(F.struct("_i", "_h1", "_h2", "_words")))
+    return rows.groupBy("doc_id", "_text").agg(found.alias("_lines"))
+
+
 def windows(docs):
     """Each window of several lines (or one that is no chunk of its own), like `occurrences`.
 
     The order holds the text's hash too, so that texts that share a doc_id have an order.
     """
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).withColumn("_lines", F.split("text", "\n", -1))
-    rows = rows.withColumn("_sizes", F.transform("_lines", _n_words))
-    rows = rows.withColumn("_long", F.transform("_lines", _is_long))
-    n = F.size("_sizes")
+    rows = repeated_lines(docs)
 
-    def steps(sizes):
-        """How many of `sizes` it takes to reach LONG_WORDS; null if they do not."""
+    def taken(lines, first, way):
+        """How many of `lines`, which must follow each other from `first`, reach LONG_WORDS."""
         start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
-        more = lambda s, x: F.when(s["sum"] < LONG_WORDS, F.struct((s["sum"] + x).alias("sum"), (s["n"] + 1).alias("n"))).otherwise(s)
-        return F.aggregate(sizes, start, more, lambda s: F.when(s["sum"] >= LONG_WORDS, s["n"]))
 
-    def forward(_, i):
-        taken = steps(F.slice("_sizes", i + 1, LONG_WORDS))
-        return F.when(~F.get("_long", i), i.cast("long") * _STOP + i + taken)
+        def more(s, x):
+            fits = (s["sum"] < LONG_WORDS) & (x["_i"] == first + way * s["n"])
+            return F.when(fits, F.struct((s["sum"] + x["_words"]).alias("sum"), (s["n"] + 1).alias("n"))).otherwise(s)
 
-    def backward(_, i):
-        first = F.greatest(i + 1 - LONG_WORDS, F.lit(0))
-        taken = steps(F.reverse(F.slice("_sizes", first + 1, i + 1 - first)))
-        return F.when(~F.get("_long", i), (i + 1 - taken).cast("long") * _STOP + i + 1)
+        return F.aggregate(lines, start, more, lambda s: F.when(s["sum"] >= LONG_WORDS, s["n"]))
 
-    codes = F.array_distinct(F.array_compact(F.concat(F.transform("_sizes", forward), F.transform("_sizes", backward))))
+    def spot(place, n):
+        return F.when(n.isNotNull(), F.struct(place.alias("at"), n.alias("n")))
 
-    def window(code):
-        marks = _lines_of(code, "_marks")
+    def forward(x, k):
+        n = taken(F.slice("_lines", k + 1, LONG_WORDS), x["_i"], 1)
+        return F.when(x["_words"] < LONG_WORDS, spot(k, n))
+
+    def backward(x, k):
+        first = F.greatest(k + 1 - LONG_WORDS, F.lit(0))
+        n = taken(F.reverse(F.slice("_lines", first + 1, k + 1 - first)), x["_i"], -1)
+        return F.when(x["_words"] < LONG_WORDS, spot(k + 1 - n, n))
+
+    spots = F.array_distinct(F.array_compact(F.concat(F.transform("_lines", forward), F.transform("_lines", backward))))
+
+    def window(spot):
+        lines = F.slice("_lines", spot["at"] + 1, spot["n"])
+        marks = F.transform(lines, lambda x: F.struct(x["_h1"], x["_h2"]))
+        text = F.array_join(F.transform(lines, lambda x: F.concat_ws(",", x["_h1"].cast("string"), x["_h2"].cast("string"))), ";")
+        start = F.get("_lines", spot["at"])["_i"].cast("long")
         return F.struct(
-            code.alias("_code"),
+            (start * _STOP + start + spot["n"]).alias("_code"),
             F.xxhash64(marks).alias("_digest"),
             F.xxhash64(F.lit(7), marks).alias("_digest2"),
-            F.unhex(F.sha2(F.array_join(_lines_of(code), "\n"), 256)).alias("_chunk"),
+            F.unhex(F.sha2(text, 256)).alias("_chunk"),
         )
 
-    rows = rows.where(n > 0).withColumn("_marks", F.transform("_lines", lambda x: F.xxhash64(x))).withColumn("_windows", codes)
-    rows = rows.select("doc_id", F.xxhash64("text").alias("_text"), F.inline(F.transform("_windows", window)))
+    rows = rows.withColumn("_windows", spots).where(F.size("_windows") > 0)
+    rows = rows.select("doc_id", "_text", F.inline(F.transform("_windows", window)))
     return rows.select("doc_id", "_text", "_code", F.struct(_order(), "_text").alias("_order"), *DIGEST, "_chunk")
 
 
@@ -181,10 +203,10 @@ def repeated_chunks(found):
     )
 
 
-def deduplicated(docs, runs=False):
-    """`docs` with repeated chunks removed from `text`, and counts of what was removed.
+def deduplicated(docs, runs=True):
+    """`docs` with repeated chunks and runs removed from `text`, and counts of what was removed.
 
-    With `runs`, all repeated runs of LONG_WORDS words go; n_removed_chunks still counts chunks.
+    n_removed_chunks counts chunks, n_removed_lines all lines that went.
 
     Columns of `docs` that are named like a count or begin with an underscore are left out.
     """
@@ -245,12 +267,30 @@ WITH l AS (
 ), r AS (
   SELECT *, (n > 1 OR length(chunk) - length(replace(chunk, ' ', '')) + 1 >= {LONG_WORDS})
             AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, first_line) > 1 AS gone FROM g
+), s AS (
+  SELECT doc_id, i, line, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM l
+), u AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM s),
+w AS (
+  SELECT DISTINCT a.doc_id, a.i, b.i AS j FROM u a JOIN u b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + {LONG_WORDS - 1}
+  WHERE b.upto - a.upto + a.words >= {LONG_WORDS}
+    AND ((a.words < {LONG_WORDS} AND b.upto - b.words - a.upto + a.words < {LONG_WORDS}) OR (b.words < {LONG_WORDS} AND b.upto - a.upto < {LONG_WORDS}))
+), x AS (
+  SELECT w.doc_id, w.i, w.j, string_agg(u.line, chr(10) ORDER BY u.i) AS txt
+  FROM w JOIN u ON u.doc_id = w.doc_id AND u.i BETWEEN w.i AND w.j GROUP BY ALL
+), y AS (
+  SELECT *, first_value(doc_id) OVER p AS first_doc, first_value(j) OVER p AS first_end, row_number() OVER p AS place
+  FROM x WINDOW p AS (PARTITION BY txt ORDER BY doc_id, i)
+), v AS (
+  SELECT DISTINCT doc_id, unnest(range(CASE WHEN first_doc = doc_id THEN greatest(i, first_end + 1) ELSE i END, j + 1)) AS i
+  FROM y WHERE place > 1
+), z AS (
+  SELECT c.doc_id, c.i, c.line, r.gone OR v.i IS NOT NULL AS gone
+  FROM c JOIN r USING (doc_id, k) LEFT JOIN v ON v.doc_id = c.doc_id AND v.i = c.i
 ), t AS (
-  SELECT doc_id, string_agg(chunk, chr(10) ORDER BY first_line) FILTER (NOT gone) AS rest, sum(n)::BIGINT AS n_lines,
-         count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed_chunks, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines
-  FROM r GROUP BY doc_id
-)
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS rest, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed_lines
+  FROM z GROUP BY doc_id
+), q AS (SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed_chunks FROM r GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(rest, '') END AS text, coalesce(n_lines, 0) AS n_lines,
        coalesce(n_chunks, 0) AS n_chunks, coalesce(n_removed_chunks, 0) AS n_removed_chunks, coalesce(n_removed_lines, 0) AS n_removed_lines
-FROM documents d LEFT JOIN t USING (doc_id)
+FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN q USING (doc_id)
 """

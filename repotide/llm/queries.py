@@ -54,12 +54,6 @@ def op6_line_dedup(spark, sf_dir):
 ORACLES["op6_line_dedup"] = line_dedup.ORACLE
 
 
-@query
-def op6_line_runs(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.deduplicated(docs, runs=True)
-
-
 @query
 def op8_ngram_join(spark, sf_dir):
     return ngram_join.similar_classes(table(spark, sf_dir, "documents"))

@@ -60,7 +60,7 @@ def corpus():
 
 def test_against_brute_force(spark, documents, clashing, odd):
     texts = corpus() + odd
-    out = D.deduplicated(clashing(documents(texts, 5)))
+    out = D.deduplicated(clashing(documents(texts, 5)), runs=False)
     assert result(out) == brute(texts)
     assert {"lang", "source", "n_chars", "words"} <= set(out.columns)
 
@@ -68,7 +68,7 @@ def test_against_brute_force(spark, documents, clashing, odd):
 def test_inserted_lines_do_not_hide_a_passage(spark, documents):
     passage = [f"shared {k}" for k in range(40)]
     texts = ["\n".join(["a", *passage]), "\n".join(["b", "c", "d", *passage, "e"])]
-    rows = result(D.deduplicated(documents(texts)))
+    rows = result(D.deduplicated(documents(texts), runs=False))
     assert rows[0][4] == 0 and rows[1][4] >= 30
 
 
@@ -133,24 +133,26 @@ def runs_corpus():
     return [*texts, "x\n" * 160, texts[1], None, "", "\n".join(passages[8] * 3)]
 
 
-def test_every_repeated_run_against_brute_force(spark, documents):
+def test_every_repeated_run_against_brute_force(spark, documents, odd):
     texts = runs_corpus()
-    rows = {r["doc_id"]: (r["text"], r["n_removed_lines"]) for r in D.deduplicated(documents(texts, 5), runs=True).collect()}
+    rows = {r["doc_id"]: (r["text"], r["n_removed_lines"]) for r in D.deduplicated(documents(texts, 5)).collect()}
     assert rows == brute_runs(texts)
-    by_chunks = result(D.deduplicated(documents(texts, 5)))
+    odd_rows = {r["doc_id"]: (r["text"], r["n_removed_lines"]) for r in D.deduplicated(documents(corpus() + odd)).collect()}
+    assert odd_rows == brute_runs(corpus() + odd)
+    by_chunks = result(D.deduplicated(documents(texts, 5), runs=False))
     assert sum(r[1] for r in rows.values()) > sum(r[4] for r in by_chunks.values())
 
 
 def test_a_passage_of_few_short_lines(spark, documents):
     passage = [" ".join(f"{a}{k}" for k in range(20)) for a in "abc"]
     texts = ["\n".join(["one", *passage, "two"]), "\n".join(["three", *passage, "four"])]
-    assert D.deduplicated(documents(texts), runs=True).where("doc_id = 1").first()["text"] == "three\nfour"
+    assert D.deduplicated(documents(texts)).where("doc_id = 1").first()["text"] == "three\nfour"
 
 
 def test_runs_of_texts_that_share_an_id(spark):
     passage = "\n".join(" ".join(f"{a}{k}" for k in range(20)) for a in "abc")
     rows = [(3, "one\n" + passage), (3, "two\n" + passage), (None, "x\n" + passage)]
-    out = D.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), runs=True)
+    out = D.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r["text"] for r in out.collect()) == ["one", "two", "x\n" + passage]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline as P
 from repotide.llm import quality_rules
 from repotide.llm.common import words_of
-from llm.test_line_dedup import brute as line_brute
+from llm.test_line_dedup import brute_runs as line_brute
 from llm.test_ngram_join import brute as join_brute
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long"
@@ -56,7 +56,7 @@ def test_whole_pipeline_against_brute_force(spark, folder, monkeypatch):
     left = [k for k in range(len(texts)) if judged[k]["kept"]]
     assert len(texts) - len(left) >= 5 and set(range(60)) <= set(left)
     cut = line_brute([texts[k] for k in left])
-    left = [(k, cut[n][0]) for n, k in enumerate(left) if cut[n][3] == 0 or cut[n][0].strip()]
+    left = [(k, cut[n][0]) for n, k in enumerate(left) if cut[n][1] == 0 or cut[n][0].strip()]
     classes = join_brute([t for _, t in left])
     left = [x for n, x in enumerate(left) if classes[n][0] == n]
     left = {k: t for k, t in left if not contaminated(t, items)}
@@ -82,3 +82,23 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, folder, odd, clashing)
 def test_digest_of_ids(spark, folder):
     row = P.run(spark, folder).first()
     assert np.int64(row["n_tokens"]) > 0 and len(row["ids_sha256"]) == 64
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark, folder):
+    """A rejected, copied or contaminated row goes, whatever happens to others with its id."""
+    rng = random.Random(3)
+    _, items = corpus()
+    good = [prose(rng, 120) for _ in range(60)]
+    for shared in (7, None):
+        rows = [(100 + k, t, "en", "s0", 1) for k, t in enumerate(good)]
+        rows += [(shared, prose(rng, 120), "en", "s0", 1), (shared, "one", "en", "s0", 1), (shared, good[4], "en", "s0", 1)]
+        rows += [(shared, prose(rng, 60) + " " + items[2].replace("\n", " "), "en", "s0", 1)]
+        docs = spark.createDataFrame(rows, DDL)
+        texts = lambda df: sorted(r["text"] for r in df.where("doc_id <=> " + ("null" if shared is None else "7")).collect())  # noqa: B023, E731
+        mine = [r[1] for r in rows[60:]]
+        assert "one" not in texts(P.quality(spark, docs, folder))
+        assert texts(P.benchmark(spark, docs, folder)) == sorted(mine[:3])
+        left = P.near_duplicates(spark, docs, folder)
+        assert left.count() == len(rows) - 1
+        # The smallest id stays: 7 is smaller than the copy's, null is not.
+        assert texts(left) == sorted(mine if shared == 7 else [mine[0], mine[1], mine[3]])
