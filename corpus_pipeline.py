@@ -22,36 +22,51 @@ from repotide.scratch import write_table  # noqa: E402
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: What the verdict on a row can depend on, besides other rows.
+JUDGED = ("doc_id", "text", "lang", "source")
+
+
+def _numbered(docs):
+    """The documents, each with a 64-bit number of its own content in place of the doc_id, so that
+    rows which share an id, or have none, are judged one by one. Equal rows share a number."""
+    return docs.select(F.xxhash64(*JUDGED).alias("doc_id"), *COLUMNS[1:])
+
+
 def _kept(docs, verdicts):
-    """The rows of `docs` whose doc_id is in `verdicts`; rows that share an id share its fate."""
-    ids = verdicts.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*COLUMNS)
+    """The rows of `docs` whose number is in `verdicts`."""
+    numbers = verdicts.select(F.col("doc_id").alias("_number")).distinct()
+    return docs.join(numbers, F.xxhash64(*JUDGED) == F.col("_number"), "left_semi").select(*COLUMNS)
 
 
 def quality(spark, docs, sf_dir):
     """Documents that the quality rules reject go."""
-    return _kept(docs, quality_rules.judged(docs).where("kept"))
+    return _kept(docs, quality_rules.judged(_numbered(docs)).where("kept"))
 
 
 def lines(spark, docs, sf_dir):
-    """Repeated chunks of lines go from the texts; a document of which nothing is left goes too."""
+    """Repeated chunks and runs of lines go from the texts; a document of which nothing is left
+    goes too."""
     rows = line_dedup.deduplicated(docs.select(*COLUMNS))
     # A filter on the new text would be pushed below the steps that make it, and make it again
     # for each use; it stays above a generator.
     rows = rows.select(F.inline(F.array(F.struct(*rows.columns))))
-    rows = rows.where((F.col("n_removed_chunks") == 0) | (F.trim("text") != ""))
+    rows = rows.where((F.col("n_removed_lines") == 0) | (F.trim("text") != ""))
     return rows.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Of each class of similar documents the one with the smallest doc_id stays."""
-    classes = ngram_join.similar_classes(docs)
-    return _kept(docs, classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))))
+    """Of each class of similar documents the one with the smallest doc_id stays; a null one only
+    if the class has no other."""
+    classes = ngram_join.similar_classes(_numbered(docs)).select("doc_id", "class_id").distinct()
+    named = docs.select(F.xxhash64(*JUDGED).alias("doc_id"), F.col("doc_id").alias("name")).distinct()
+    order = F.struct(F.col("name").isNull().alias("none"), "name", "doc_id")
+    first = classes.join(named, "doc_id").groupBy("class_id").agg(F.min(order)["doc_id"].alias("doc_id"))
+    return _kept(docs, first)
 
 
 def benchmark(spark, docs, sf_dir):
     """Contaminated documents go; others keep their whole text."""
-    spans = decontamination.removal_spans(docs, table(spark, sf_dir, "benchmark"))
+    spans = decontamination.removal_spans(_numbered(docs), table(spark, sf_dir, "benchmark"))
     return _kept(docs, decontamination.judged(spans).where(~F.col("contaminated")))
 
 
