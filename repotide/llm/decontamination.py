@@ -10,11 +10,13 @@ Nothing is shuffled: a document's hits are known in the task that reads it. A do
 than a shard is indexed in pieces that overlap by the longest window less one word. The
 benchmark is read in blocks of at most BLOCK_BYTES of text; its total size decides how many.
 
+Rows that share a doc_id, or have none, are judged one by one, with one block and with several.
 Null and empty texts have no words, no hits and are not contaminated. Equal items all count.
 Items without a word are ignored. Other columns of `docs` are not read.
 """
 
 import hashlib
+from functools import reduce
 from itertools import pairwise
 
 import numpy as np
@@ -266,27 +268,48 @@ def benchmark_blocks(benchmark, block_bytes=BLOCK_BYTES):
         yield [tuple(r) for r in chosen.where(F.col("part") == k).select("item_id", "text").collect()]
 
 
+def _number():
+    """A 64-bit number of a row's id and text; rows that share it are equal."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _joined(spans):
+    """Column of `merged` spans, from a sorted array of them."""
+
+    def more(out, x):
+        last = F.get(out, F.size(out) - 1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], x["stop"]).alias("stop"))
+        touching = F.coalesce(x["start"] <= last["stop"], F.lit(False))
+        return F.when(touching, F.concat(F.slice(out, 1, F.size(out) - 1), F.array(longer))).otherwise(F.concat(out, F.array(x)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:bigint,stop:bigint>>"), more)
+
+
+def _found(texts, items, window):
+    return texts.select("doc_id", "text").mapInArrow(_batched(_finder(*windows_of(items, window))), SPANS_DDL)
+
+
 def removal_spans(docs, benchmark, window=WINDOW):
     """doc_id, n_words, spans (word numbers, merged), items with an occurring window.
 
-    One row for each row of `docs`; rows of several benchmark blocks are merged by doc_id.
+    One row for each row of `docs`, whatever their ids. What several blocks of the benchmark find
+    is merged by a number of the row's content, so that rows which share an id, or have none, keep
+    to themselves.
     """
-    texts = docs.select("doc_id", "text")
-    found = [
-        texts.mapInArrow(_batched(_finder(*windows_of(items, window))), SPANS_DDL)
-        for items in benchmark_blocks(benchmark)
-    ]
-    if len(found) == 1:
-        return found[0]
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionAll(more)
-    merge = F.udf(lambda lists: merged((s.start, s.stop) for x in lists for s in x), "array<struct<start:long,stop:long>>")
-    return rows.groupBy("doc_id").agg(
+    blocks = list(benchmark_blocks(benchmark))
+    if len(blocks) == 1:
+        return _found(docs, blocks[0], window)
+    rows = docs.select("doc_id", "text", _number().alias("_number"))
+    texts = rows.select(F.col("_number").alias("doc_id"), "text")
+    found = reduce(lambda a, b: a.unionAll(b), [_found(texts, items, window) for items in blocks])
+    # Equal rows say the same, so sets hold what one of them says: a list for each block at most.
+    spans = found.groupBy(F.col("doc_id").alias("_own")).agg(
         F.max("n_words").alias("n_words"),
-        merge(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        _joined(F.array_sort(F.flatten(F.collect_set("spans")))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
+    named = rows.select("doc_id", "_number")
+    return named.join(spans, F.col("_number") == F.col("_own")).select("doc_id", "n_words", "spans", "items")
 
 
 def judged(spans):
@@ -326,5 +349,9 @@ def with_spans_cut(docs, benchmark, window=WINDOW):
 
         return each
 
-    joined = docs.select("doc_id", "text").join(removal_spans(docs, benchmark, window).select("doc_id", "spans"), "doc_id")
+    rows = docs.select("doc_id", "text", _number().alias("_number"))
+    spans = removal_spans(rows.select(F.col("_number").alias("doc_id"), "text"), benchmark, window)
+    # Equal rows bring equal spans; one of them is enough for all.
+    spans = spans.groupBy(F.col("doc_id").alias("_own")).agg(F.first("spans").alias("spans"))
+    joined = rows.join(spans, F.col("_number") == F.col("_own")).select("doc_id", "text", "spans")
     return map_rows(joined, make, "doc_id long, text string")

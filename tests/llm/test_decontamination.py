@@ -78,3 +78,16 @@ def test_cut(spark, documents):
     benchmark = spark.createDataFrame([(1, "b C")], "item_id long, text string")
     out = D.with_spans_cut(documents(["A, b -- c! d", "x", None]), benchmark)
     assert sorted(out.collect()) == [(0, "A, ! d"), (1, "x"), (2, None)]
+
+
+@pytest.mark.parametrize("block", [4, 1 << 20])
+def test_rows_with_shared_and_null_ids(spark, block, monkeypatch):
+    monkeypatch.setattr(D, "benchmark_blocks", lambda b, f=D.benchmark_blocks: f(b, block))
+    rows = [(1, "a b c d e f g"), (1, "clean words"), (None, "x b c d y z"), (None, None), (None, "a b c"), (1, "clean words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    benchmark = spark.createDataFrame([(1, "b c d"), (2, "c d e"), (3, "y z"), (4, "q")], "item_id long, text string")
+    found = D.judged(D.removal_spans(docs, benchmark)).collect()
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items) for r in found)
+    assert got == [("1", 2, 0, 0), ("1", 2, 0, 0), ("1", 7, 4, 2), ("None", 0, 0, 0), ("None", 3, 0, 0), ("None", 6, 5, 2)]
+    out = sorted((str(r.doc_id), str(r["text"]).split()) for r in D.with_spans_cut(docs, benchmark).collect())
+    assert out == [("1", ["a", "f", "g"]), ("1", ["clean", "words"]), ("1", ["clean", "words"]), ("None", ["None"]), ("None", ["a", "b", "c"]), ("None", ["x"])]
