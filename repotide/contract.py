@@ -33,9 +33,9 @@ TOPICS = 5
 TOPIC_ITERATIONS = 10
 # Share of a language's texts that an iteration draws; 1.0 lets every iteration draw from all.
 TOPIC_SUBSAMPLING = 1.0
-# Partitions that a language's vectors are dealt to by id. Topics depend on this number and the
-# seed, not on the cluster; use a few times the number of cores.
-TOPIC_PARTITIONS = 16
+# Vectors in one of the partitions that a language's are dealt to by id. Topics depend on the
+# number of texts and the seed, not on the cluster.
+TOPIC_PARTITION_ROWS = 20_000
 TOPIC_WORDS = 5
 TOPIC_WORDS_SHOWN = 3
 TOP_ENTITIES = 5

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from repotide.contract import REPO_SCHEMA
 from repotide.operators.state import dedup_within_batch
 from repotide.scratch import read_existing, temporary, write_table
+from repotide.sources import tiers
 from repotide.sources.ndjson import POSITION, parse_lines
 from repotide.streaming.run import start
 
@@ -86,13 +87,37 @@ def _copy(schema):
     return type(schema)(list(schema.fields))
 
 
+def _history_schema(schema):
+    return _copy(schema).add("batch_time", "timestamp").add("batch", "string")
+
+
+def maintain_history(spark, table, history, checkpoint, schema=REPO_SCHEMA, interval=None):
+    """Copy good records to a table of few folders, however many micro-batches there were.
+
+    Other streams follow the files of the landed table, so its folders stay as they are; readers
+    of the whole history open the logarithmic number of folders of this one instead.
+    """
+
+    def fold(rows, batch_id):
+        tiers.append(rows, history, batch_id)
+
+    good = landed_stream(spark, table, schema).where(~F.col("bad")).select(*_history_schema(schema).names)
+    return start(good.writeStream.foreachBatch(fold), checkpoint, interval)
+
+
+def history(spark, path, schema=REPO_SCHEMA):
+    """The rows of `maintain_history`, for `batch_history`."""
+    return tiers.read(spark, path, _history_schema(schema))
+
+
 def quarantine(table_rows):
     return table_rows.where("bad").select("batch_time", "line")
 
 
 def batch_history(table_rows):
     """Repositories of each batch, unique within it."""
-    return dedup_within_batch(table_rows.where(~F.col("bad")).drop("line", "bad", "batch"))
+    good = table_rows.where(~F.col("bad")) if "bad" in table_rows.columns else table_rows
+    return dedup_within_batch(good.drop("line", "bad", "batch"))
 
 
 def batch_metrics(table_rows):

@@ -492,3 +492,24 @@ def test_topics_go_on_from_the_model_before(spark, repos, tmp_path):
     live.fold_topics(repos({"id": 900, "description": "lone", "language": "Java"}), path, 4, k=2)
     assert {r[0] for r in model()} == {"Python"} and len(model()) == 6
     assert live.current_topics(spark, str(tmp_path / "none")) is None
+
+
+def test_console_of_a_stream(spark, events, tmp_path, capfd):
+    source = write_parts(events, str(tmp_path), 2)
+    job = finish(refresh.console(stream_of(spark, events, source), str(tmp_path / "c")))
+    printed = capfd.readouterr().out
+    assert [p["numInputRows"] > 0 for p in job.recentProgress[:2]] == [True, True]
+    assert printed.count("Batch: ") == 2 and "only showing top 20 rows" in printed
+
+
+def test_history_in_few_folders(spark, tmp_path):
+    inbox, table, path = tmp_path / "inbox", str(tmp_path / "landed"), str(tmp_path / "history")
+    for n in range(9):
+        write_lines(inbox, f"{n}.json", *[record(k, 10 * n + k) for k in range(n % 3 + 1)], "bad")
+        finish(landing.land(ndjson.stream_lines(spark, path=str(inbox)), table, str(tmp_path / "c1")))
+        finish(landing.maintain_history(spark, table, path, str(tmp_path / "c2")))
+    kept, every = landing.history(spark, path), landing.landed(spark, table)
+    columns = ("id", "seq", "name", "batch", "batch_time")
+    assert rows(kept, *columns) == rows(every.where("not bad"), *columns)
+    assert rows(landing.batch_history(kept), "id", "seq") == rows(landing.batch_history(every), "id", "seq")
+    assert len(os.listdir(table)) >= 9 and len(tiers.folders(spark, path)) == 2
