@@ -81,6 +81,9 @@ def sample_word_lines(nested):
     return nested.select(F.concat_ws(":", "language", words).alias("line"))
 
 
+# The wording of the console lines that the next functions make.
+
+
 def topic_lines(nested):
     words = F.array_join("top_words", ", ")
     return nested.select(

@@ -51,7 +51,7 @@ ODD_TEXTS = ["Docker on AWS again", "AI", "", None, "é😀x a😀bc", "web  api
 
 
 @pytest.mark.parametrize("limit", [entity_index.BROADCAST_BYTES, 0])
-@pytest.mark.parametrize("q", [1, 3, 4, 6])
+@pytest.mark.parametrize("q", [1, 4])
 def test_index_finds_what_contains_finds(spark, repos, limit, q):
     docs = repos(*[{"description": t} for t in ODD_TEXTS])
     found = entity_index.entity_mentions(docs, dictionary(spark, ODD_NAMES), q, limit)
