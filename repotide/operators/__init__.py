@@ -1 +1,7 @@
-"""Batch operators: DataFrame in, DataFrame out, on the columns of the record contract."""
+"""Batch operators, DataFrame -> DataFrame. The few that run Python in tasks travel by value."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

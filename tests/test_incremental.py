@@ -70,6 +70,19 @@ def test_index_gives_the_rows_of_the_literal_dictionary(spark, documents):
     assert rows(entity_index.entity_mentions(docs, table)) == rows(entities.entity_mentions(docs).select(*entity_index.MENTION))
 
 
+def test_words_are_looked_up_where_texts_are_read(spark, repos):
+    """Per text one row of numbers, not one of each q-gram; a pattern may span words or hold none."""
+    names = ["big data", "g d", " data", "data\t", "dat", "", " ", "a\xa0b", "data a", "big  data"]
+    texts = ["Big Data", "big  data", "xbig\tdatax", "DATA\tA\xa0B", "", "big dat", "data a data a"]
+    docs = repos(*[{"description": t} for t in texts], {"description": "big data", "id": 0, "seq": 99})
+    found = entity_index.entity_mentions(docs, dictionary(spark, names))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "explode(numbers" in plan
+    expected = [(n, m, e) for n, t in enumerate(texts) for e, m in enumerate(names) if m in t.lower()]
+    expected += [(0, m, e) for e, m in enumerate(names) if m in "big data"]
+    assert mentioned(found) == sorted(expected)
+
+
 def test_an_index_serves_other_texts(spark, repos):
     names = ["docker", "redis", "ai"]
     first, second = repos({"description": "docker ai"}), repos({"description": "Redis and AI"})
