@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from conftest import rows
 from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer
@@ -107,3 +109,27 @@ def test_top_words_nested_keeps_rank_order(repos):
     df = repos({"description": "b b a a c"}, {"description": "c c c"})
     nested = words.top_words_nested(words.top_words(df, 2)).first()
     assert [tuple(x) for x in nested.top_ten_words] == [("c", 4), ("a", 2)]
+
+
+def test_terms_are_counted_in_batches(spark, repos):
+    """One row of a term for each batch of a task, whatever the batches; the sums are those of all texts."""
+    texts = ["a1 b1 a1 the", "  ", "b1  b1", "\u00c9t\u00e9 a1", "the", "a1"] * 3
+    docs = repos(*[{"description": t, "language": x} for t in texts for x in ("Python", "Java", None)])
+    expected = Counter()
+    for text in texts:
+        words = [t for t in text.lower().rstrip().split(" ") if t != "the"] if text.strip() else []
+        expected.update({(t, n): 1 for t, n in Counter(words).items()})
+    corpus, seen = Counter(), Counter()
+    for (term, n), times in expected.items():
+        corpus[term] += n * times
+        seen[term] += times
+    per_language = [(term, corpus[term], seen[term]) for term in corpus] + [(None, 0, len(texts))]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        found = vocabulary.term_statistics(docs)
+        assert "MapInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+        got = Counter(tuple(r) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == Counter((x, *row) for row in per_language for x in ("Python", "Java", None))
