@@ -6,7 +6,8 @@ from conftest import at, rows
 from pyspark.sql import functions as F
 
 from repotide import scratch
-from repotide.plans.report import recent_section, snapshot_payload
+from repotide.operators import similarity, topics
+from repotide.plans.report import all_sections, recent_section, snapshot_payload
 from repotide.sources import ndjson, search, snapshots
 
 GOOD = '{"id":1,"name":"a","language":"Python","description":"x ai","stargazers_count":5,"pushed_at":"2024-01-01T00:00:10Z"}'
@@ -114,3 +115,16 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert scratch.scratch_path(spark, "x").startswith(f"{folder}/x-")
     table = scratch.write_table(spark.range(3), "y")
     assert rows(table) == [(0,), (1,), (2,)]
+
+
+def test_topics_and_pairs_share_one_count_of_terms(repos, monkeypatch):
+    def counted_again(*_):
+        raise AssertionError("the terms are counted again")
+
+    monkeypatch.setattr(topics, "term_statistics", counted_again)
+    monkeypatch.setattr(similarity, "term_statistics", counted_again)
+    df = repos({"description": "a1 b1"}, {"description": "a1 b1"}, {"description": "c1"})
+    history = df.selectExpr("pushed_at AS batch_time", "language", "1L AS count").where("false")
+    sections = all_sections(df, history, at("2024-07-01 00:00:00"), ("Python",))
+    assert [r.total_repos_analyzed for r in sections["req7"].collect()] == [3]
+    assert sections["req5"].collect() == []
