@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from repotide.contract import STOP_WORDS
 from repotide.functions import text
 from repotide.operators import vocabulary, words
+from repotide.operators.arrow_terms import split_texts
 from repotide.operators.ranking import top_k
 
 TEXTS = [
@@ -133,3 +134,16 @@ def test_terms_are_counted_in_batches(spark, repos):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert got == Counter((x, *row) for row in per_language for x in ("Python", "Java", None))
+
+
+def test_split_texts_are_the_tokens_of_the_column(spark):
+    """Arrow batches are split in arrays; the tokens are those of `ml_tokens`, for slices of a batch too."""
+    texts = ["a b", "  Two  inner\tTABS\n", "", " \x0b\f\r", None, "\x0bÜber\x85x y é z", "one", "x\x1cy", "\n", "", "İ a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string").coalesce(1).orderBy("n")
+    made = df.select(text.ml_tokens(F.col("t")).alias("tokens"), text.trimmed_text(F.col("t")).alias("text")).toArrow()
+    expected = [tokens or [] for tokens in made["tokens"].to_pylist()]
+    column = made["text"].combine_chunks()
+    assert split_texts(column).to_pylist() == expected
+    assert any("" in tokens for tokens in expected)
+    for begin in range(len(texts) + 1):
+        assert split_texts(column.slice(begin, 4)).to_pylist() == expected[begin : begin + 4]
